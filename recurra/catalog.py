@@ -70,3 +70,53 @@ def q_failed_payment_rate(spark, sf):
 def q_failed_payment_rate_corrected(spark, sf):
     return metrics.failed_payment_rate(fx.payment_attempts_stream(spark, sf),
                                        metrics.CORRECTED_SUCCESS)
+
+
+# ---------------------------------------------------------------- versions, reconciliation
+
+from recurra.operators.latest import latest_version  # noqa: E402
+from recurra.plans import reconcile  # noqa: E402
+from recurra.sources import snapshot  # noqa: E402
+
+RECONCILE_AS_OF = "2001-08-01"
+
+
+@register("latest_subscription_version")
+def q_latest_subscription_version(spark, sf):
+    return latest_version(fx.subscriptions_stream(spark, sf), "subscription_id", reconcile.TIE_BREAK_ORDER)
+
+
+@register("reconciliation_totals")
+def q_reconciliation_totals(spark, sf):
+    return reconcile.reconcile(fx.subscriptions_stream(spark, sf), fx.subscriptions_batch(spark, sf),
+                               RECONCILE_AS_OF)
+
+
+@register("reconciliation_status")
+def q_reconciliation_status(spark, sf):
+    return reconcile.reconciliation_status(fx.subscriptions_stream(spark, sf),
+                                           fx.subscriptions_batch(spark, sf), RECONCILE_AS_OF)
+
+
+@register("reconciliation_alert")
+def q_reconciliation_alert(spark, sf):
+    return reconcile.alert_text(q_reconciliation_status(spark, sf))
+
+
+@register("reconciliation_iterations")
+def q_reconciliation_iterations(spark, sf):
+    return reconcile.iterations(fx.subscriptions_stream(spark, sf), fx.subscriptions_batch(spark, sf),
+                                RECONCILE_AS_OF)
+
+
+@register("snapshot_typed_subscriptions")
+def q_snapshot_typed_subscriptions(spark, sf):
+    lines = snapshot.dump_lines(fx.subscriptions_batch(spark, sf), "subscriptions", "\t", "NULL")
+    return snapshot.parse_snapshot_lines(lines, "subscriptions", "\t", "NULL")
+
+
+@register("snapshot_typed_invoices")
+def q_snapshot_typed_invoices(spark, sf):
+    current = latest_version(fx.invoices_stream(spark, sf), "invoice_id", ("updated_at", "cdc_ts_ms"))
+    lines = snapshot.dump_lines(current, "invoices", "\t", "NULL")
+    return snapshot.parse_snapshot_lines(lines, "invoices", "\t", "NULL")

@@ -13,7 +13,7 @@ def padded_id(prefix: str, n: Column, width: int) -> Column:
 
 def money_text(c: Column) -> Column:
     """1234.5 -> '1,234.50'."""
-    return F.format_number(c.cast("double"), 2)
+    return F.format_number(c, 2)
 
 
 def percent_text(ratio: Column, digits: int = 4) -> Column:
