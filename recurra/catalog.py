@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recurra import fixtures as fx
 from recurra.plans import metrics
+from recurra.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +20,11 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+        run.__name__ = run.__qualname__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -120,3 +125,91 @@ def q_snapshot_typed_invoices(spark, sf):
     current = latest_version(fx.invoices_stream(spark, sf), "invoice_id", ("updated_at", "cdc_ts_ms"))
     lines = snapshot.dump_lines(current, "invoices", "\t", "NULL")
     return snapshot.parse_snapshot_lines(lines, "invoices", "\t", "NULL")
+
+
+# ---------------------------------------------------------------- CDC decoding
+
+from recurra import schemas  # noqa: E402
+from recurra.operators import cdc  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _decoded(spark, sf):
+    return cdc.decode(fx.cdc_messages(spark, sf))
+
+
+@register("cdc_envelope")
+def q_cdc_envelope(spark, sf):
+    """Table, op and position read from both envelope shapes."""
+    e = cdc.parse_envelope(fx.cdc_messages(spark, sf)).filter(~F.col("corrupt"))
+    return e.groupBy("table", "op").agg(F.count(F.lit(1)).alias("n_messages"),
+                                        F.sum("ts_ms").alias("sum_ts_ms"),
+                                        F.count_if(F.col("has_after")).alias("n_with_after"))
+
+
+def _normalised(table):
+    def q(spark, sf):
+        return cdc.normalise(_decoded(spark, sf).ok, table).drop("cdc_timestamp")
+    return q
+
+
+for _t in ["subscriptions", "invoices", "payment_attempts", "plan_changes", "merchants"]:
+    register(f"cdc_normalise_{_t}")(_normalised(_t))
+
+
+def _long(spark, sf, type_name):
+    """Every column of one type, over all tables, as (table, id, cdc_ts_ms, column, value)."""
+    ok = _decoded(spark, sf).ok
+    out = None
+    for t, (schema, key, _) in schemas.TABLES.items():
+        cols = [f.name for f in schema.fields if f.dataType.typeName() == type_name]
+        if not cols:
+            continue
+        rows = cdc.normalise(ok, t)
+        long = rows.unpivot([key, "cdc_ts_ms"], cols, "column_name", "value") \
+            .select(F.lit(t).alias("source_table"), F.col(key).alias("entity_id"), "cdc_ts_ms",
+                    "column_name", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+@register("cdc_decode_date")
+def q_cdc_decode_date(spark, sf):
+    return _long(spark, sf, "date")
+
+
+@register("cdc_decode_decimal")
+def q_cdc_decode_decimal(spark, sf):
+    return _long(spark, sf, "decimal")
+
+
+@register("cdc_decode_boolean")
+def q_cdc_decode_boolean(spark, sf):
+    return _long(spark, sf, "boolean")
+
+
+@register("cdc_decode_timestamp")
+def q_cdc_decode_timestamp(spark, sf):
+    return _long(spark, sf, "timestamp_ntz")
+
+
+@register("cdc_dead_letter")
+def q_cdc_dead_letter(spark, sf):
+    dl = _decoded(spark, sf).dead_letter
+    return dl.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@register("cdc_deletes")
+def q_cdc_deletes(spark, sf):
+    d = _decoded(spark, sf).deletes
+    return d.select(F.col("table").alias("source_table"), "op",
+                    cdc.entity_key(F.col("table"), F.col("before")).alias("entity_id"), "ts_ms")
+
+
+@register("cdc_topic_route")
+def q_cdc_topic_route(spark, sf):
+    m = fx.cdc_messages(spark, sf)
+    routed = cdc.route_topic(F.col("topic"), fx.CDC_PREFIX, fx.CDC_DB)
+    return (m.select(routed.alias("topic"))
+            .groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"))
+            .select("topic", cdc.topic_table(F.col("topic")).alias("source_table"), "n_messages"))

@@ -149,6 +149,10 @@ def invoices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_attempts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attempts(spark, sf_dir).drop("event_type")
+
+
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     failed = e.event_type.isin("error", "view")
     return e.select(
@@ -165,6 +169,7 @@ def payment_attempts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("c").alias("cdc_operation"),
         F.timestamp_add("HOUR", F.lit(1), e.ts).alias("cdc_timestamp"),
         e.event_id.alias("cdc_ts_ms"),
+        e.event_type,
     )
 
 
@@ -196,3 +201,88 @@ LOGS = {
     "payment_attempts": payment_attempts_stream,
     "plan_changes": plan_changes_stream,
 }
+
+
+# ------------------------------------------------------------------ CDC wire
+
+CDC_PREFIX = "billing"
+CDC_DB = "billing_db"
+
+# How each table is put on the wire, so every decoder path sees whole tables:
+# envelope shape, money encoding, date encoding, timestamp encoding.
+WIRE_FORMAT = {
+    "subscriptions": ("root", "text", "days", "millis"),
+    "invoices": ("payload", "base64", "days", "millis"),
+    "payment_attempts": ("root", "base64", "days", "iso"),
+    "plan_changes": ("root", "text", "iso", "millis"),
+    "merchants": ("payload", "text", "days", "iso"),
+}
+
+
+def _encode_after(df: DataFrame, tbl: str) -> Column:
+    from recurra import schemas
+    from recurra.functions.decode import (encode_decimal_base64, encode_epoch_date,
+                                          encode_epoch_millis, encode_iso_utc)
+    _, money, dates, stamps = WIRE_FORMAT[tbl]
+    fields = []
+    for f in schemas.TABLES[tbl][0].fields:
+        c, t = F.col(f.name), f.dataType.typeName()
+        if t == "decimal":
+            c = encode_decimal_base64(c, 2) if money == "base64" else c.cast("string")
+        elif t == "date":
+            c = encode_epoch_date(c) if dates == "days" else c.cast("string")
+        elif t == "boolean":
+            c = c.cast("int")
+        elif t == "timestamp_ntz":
+            c = encode_epoch_millis(c) if stamps == "millis" else encode_iso_utc(c)
+        fields.append(c.alias(f.name))
+    return F.struct(*fields)
+
+
+def _message(tbl: str, before: Column, after: Column, op: Column, ts_ms: Column) -> Column:
+    env = F.struct(before.alias("before"), after.alias("after"),
+                   F.struct(F.lit(CDC_DB).alias("db"), F.lit(tbl).alias("table")).alias("source"),
+                   op.alias("op"), ts_ms.alias("ts_ms"))
+    if WIRE_FORMAT[tbl][0] == "payload":
+        env = F.struct(env.alias("payload"))
+    return F.to_json(env)
+
+
+def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CDC topic traffic the source tables would produce: (topic, value).
+
+    Every row version of every table is one message. Subscriptions that are
+    only in the log (ids ending in 9) were deleted: each gets a delete
+    message after its last version. Attempts from ``error`` events also
+    arrive a second time cut short (an unparseable message).
+    """
+    raw_topic = lambda t: F.lit(f"{CDC_PREFIX}.{CDC_DB}.{t}")
+    no_before = F.lit(None).cast("string")
+    parts = []
+    for tbl, build in [("subscriptions", subscriptions_stream), ("invoices", invoices_stream),
+                       ("plan_changes", plan_changes_stream)]:
+        d = build(spark, sf_dir)
+        parts.append(d.select(raw_topic(tbl).alias("topic"),
+                              _message(tbl, no_before, _encode_after(d, tbl), F.col("cdc_operation"),
+                                       F.col("cdc_ts_ms")).alias("value")))
+    a = _attempts(spark, sf_dir)
+    msg = _message("payment_attempts", no_before, _encode_after(a, "payment_attempts"),
+                   F.col("cdc_operation"), F.col("cdc_ts_ms"))
+    copies = F.array(msg, F.when(F.col("event_type") == "error", F.substring(msg, 1, 40)))
+    parts.append(a.select(raw_topic("payment_attempts").alias("topic"),
+                          F.explode(copies).alias("value")).filter(F.col("value").isNotNull()))
+    m = merchants(spark, sf_dir)
+    parts.append(m.select(raw_topic("merchants").alias("topic"),
+                          _message("merchants", no_before, _encode_after(m, "merchants"), F.lit("c"),
+                                   F.regexp_extract("merchant_id", r"(\d+)$", 1).cast("bigint"))
+                          .alias("value")))
+    gone = (subscriptions_stream(spark, sf_dir).filter(F.col("subscription_id").endswith("9"))
+            .groupBy("subscription_id", "merchant_id").agg(F.max("cdc_ts_ms").alias("last")))
+    before = F.to_json(F.struct("subscription_id", "merchant_id"))
+    parts.append(gone.select(raw_topic("subscriptions").alias("topic"),
+                             _message("subscriptions", before, F.lit(None).cast("string"), F.lit("d"),
+                                      F.col("last") + 1).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -76,11 +76,11 @@ def encode_epoch_date(c: Column | str) -> Column:
 
 def encode_epoch_millis(c: Column | str) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> epoch millis."""
-    return F.timestampdiff("MILLISECOND", _epoch(), _c(c))
+    return F.timestamp_diff("MILLISECOND", _epoch(), _c(c))
 
 
 def encode_iso_utc(c: Column | str) -> Column:
-    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def encode_decimal_base64(c: Column | str, scale: int = 2) -> Column:

@@ -20,12 +20,27 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Runtime SQL settings the jobs need whatever session they are given.
+# Constraint propagation is off: on the wide CASE / JSON projections of the
+# decoder it dominates planning time (PruneFilters) and buys nothing here.
+RUNTIME_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def build_session(master: str = "local[8]", app: str = "recurra",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(RUNTIME_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
