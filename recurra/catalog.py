@@ -213,3 +213,41 @@ def q_cdc_topic_route(spark, sf):
     return (m.select(routed.alias("topic"))
             .groupBy("topic").agg(F.count(F.lit(1)).alias("n_messages"))
             .select("topic", cdc.topic_table(F.col("topic")).alias("source_table"), "n_messages"))
+
+
+# ---------------------------------------------------------------- merchant state, serving
+
+from recurra.operators import state as st  # noqa: E402
+from recurra.plans import serving  # noqa: E402
+
+LOOKUP_MERCHANT = "MCH-000042"
+
+
+def _state(spark, sf):
+    return st.merchant_state(fx.merchants(spark, sf), fx.subscriptions_stream(spark, sf),
+                             fx.payment_attempts_stream(spark, sf))
+
+
+@register("consecutive_failures")
+def q_consecutive_failures(spark, sf):
+    return st.consecutive_failures(fx.payment_attempts_stream(spark, sf))
+
+
+@register("merchant_state")
+def q_merchant_state(spark, sf):
+    return _state(spark, sf)
+
+
+@register("state_mrr_snapshot")
+def q_state_mrr_snapshot(spark, sf):
+    return serving.state_mrr_snapshot(_state(spark, sf))
+
+
+@register("merchant_lookup")
+def q_merchant_lookup(spark, sf):
+    return serving.merchant_lookup(_state(spark, sf), LOOKUP_MERCHANT)
+
+
+@register("last_invoices_per_merchant")
+def q_last_invoices_per_merchant(spark, sf):
+    return serving.last_invoices(serving.current_invoices(fx.invoices_stream(spark, sf)), 12)

@@ -354,3 +354,78 @@ msgs AS (
   UNION ALL SELECT 'payment_attempts' FROM events WHERE event_type = 'error'
   UNION ALL SELECT 'merchants' FROM merchants)
 SELECT 'billing.' || t || '.cdc' AS topic, t AS source_table, count(*) AS n_messages FROM msgs GROUP BY t""", *_ALL)
+
+# ---------------------------------------------------------------- merchant state, serving
+
+_CF = """
+cf_a AS (SELECT * FROM payment_attempts_stream WHERE merchant_id IS NOT NULL AND merchant_id <> ''),
+cf_r AS (SELECT merchant_id, created_at AS r_ts, attempt_id AS r_id FROM (
+  SELECT merchant_id, created_at, attempt_id,
+         row_number() OVER (PARTITION BY merchant_id ORDER BY created_at DESC NULLS LAST, attempt_id DESC NULLS LAST) AS rn
+  FROM cf_a WHERE statut IS DISTINCT FROM 'failed') x WHERE rn = 1),
+cf_m AS (SELECT DISTINCT merchant_id FROM cf_a),
+cf AS (
+  SELECT m.merchant_id, CAST((SELECT count(DISTINCT f.attempt_id) FROM cf_a f
+      WHERE f.merchant_id = m.merchant_id AND f.statut = 'failed'
+        AND (r.r_ts IS NULL OR f.created_at > r.r_ts OR (f.created_at = r.r_ts AND f.attempt_id > r.r_id))) AS BIGINT)
+    AS nb_echecs_paiement_consecutifs
+  FROM cf_m m LEFT JOIN cf_r r ON m.merchant_id = r.merchant_id)"""
+
+SQL["consecutive_failures"] = with_fixtures(f"WITH {_CF}\nSELECT * FROM cf", "payment_attempts_stream")
+
+
+def _latest_of(src_filter: str) -> str:
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id
+      ORDER BY ts DESC NULLS LAST, rk DESC, pos DESC NULLS LAST, k DESC NULLS LAST) AS rn
+      FROM ev WHERE {src_filter}) x WHERE rn = 1)"""
+
+
+_STATE = f"""
+ev0 AS (
+  SELECT merchant_id, 'subscriptions' AS src, updated_at AS ts, 1 AS rk, cdc_ts_ms AS pos, subscription_id AS k,
+         plan, statut, montant_mensuel_cad, date_prochain_paiement, annulation_schedulee,
+         CAST(NULL AS VARCHAR) AS nom, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS province,
+         CAST(NULL AS TIMESTAMP) AS created_at
+  FROM subscriptions_stream
+  UNION ALL
+  SELECT merchant_id, 'merchants', updated_at, 0, CAST(NULL AS BIGINT), merchant_id, plan, statut,
+         NULL, NULL, NULL, nom, email, province, NULL FROM merchants
+  UNION ALL
+  SELECT merchant_id, 'payment_attempts', created_at, 2, cdc_ts_ms, attempt_id, NULL, statut,
+         NULL, NULL, NULL, NULL, NULL, NULL, created_at FROM payment_attempts_stream),
+ev AS (SELECT * FROM ev0 WHERE merchant_id IS NOT NULL AND merchant_id <> ''),
+ls AS {_latest_of("src = 'subscriptions'")},
+lm AS {_latest_of("src = 'merchants'")},
+la AS {_latest_of("src = 'payment_attempts'")},
+lp AS {_latest_of("src IN ('merchants', 'subscriptions')")},
+up AS (SELECT merchant_id, max(ts) AS updated_at FROM ev GROUP BY merchant_id),
+{_CF},
+state AS (
+  SELECT up.merchant_id, lm.nom, lm.email, lm.province, lp.plan AS plan_actuel, lm.statut AS statut_merchant,
+    ls.statut AS statut_abonnement,
+    CAST(CASE WHEN ls.merchant_id IS NOT NULL THEN COALESCE(ls.montant_mensuel_cad, 0) END AS DECIMAL(10,2)) AS montant_mensuel_cad,
+    ls.date_prochain_paiement,
+    CASE WHEN ls.merchant_id IS NOT NULL THEN COALESCE(ls.annulation_schedulee, FALSE) END AS annulation_schedulee,
+    la.created_at AS derniere_tentative_paiement, la.statut AS statut_derniere_tentative,
+    cf.nb_echecs_paiement_consecutifs, up.updated_at
+  FROM up LEFT JOIN ls ON up.merchant_id = ls.merchant_id LEFT JOIN lm ON up.merchant_id = lm.merchant_id
+  LEFT JOIN la ON up.merchant_id = la.merchant_id LEFT JOIN lp ON up.merchant_id = lp.merchant_id
+  LEFT JOIN cf ON up.merchant_id = cf.merchant_id)"""
+
+_STATE_TABLES = ("merchants", "subscriptions_stream", "payment_attempts_stream")
+SQL["merchant_state"] = with_fixtures(f"WITH {_STATE}\nSELECT * FROM state", *_STATE_TABLES)
+SQL["state_mrr_snapshot"] = with_fixtures(f"""WITH {_STATE}
+SELECT CAST(COALESCE(sum(montant_mensuel_cad), 0) AS DECIMAL(20,2)) AS mrr_cad, count(*) AS active_merchants
+FROM state WHERE statut_abonnement = 'active'""", *_STATE_TABLES)
+SQL["merchant_lookup"] = with_fixtures(f"WITH {_STATE}\nSELECT * FROM state WHERE merchant_id = 'MCH-000042'",
+                                       *_STATE_TABLES)
+
+_CURRENT_INVOICES = """
+cur_inv AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY updated_at DESC NULLS LAST, cdc_ts_ms DESC NULLS LAST) AS rn
+  FROM invoices_stream) x WHERE rn = 1)"""
+
+SQL["last_invoices_per_merchant"] = with_fixtures(f"""WITH {_CURRENT_INVOICES}
+SELECT merchant_id, rang, invoice_id, subscription_id, montant_cad, statut, date_emission FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY merchant_id ORDER BY date_emission DESC NULLS LAST, invoice_id DESC) AS INTEGER) AS rang
+  FROM cur_inv) x WHERE rang <= 12""", "invoices_stream")
