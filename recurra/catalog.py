@@ -251,3 +251,78 @@ def q_merchant_lookup(spark, sf):
 @register("last_invoices_per_merchant")
 def q_last_invoices_per_merchant(spark, sf):
     return serving.last_invoices(serving.current_invoices(fx.invoices_stream(spark, sf)), 12)
+
+
+# ---------------------------------------------------------------- billing jobs
+
+from recurra.operators import billing  # noqa: E402
+
+BILLING_AS_OF = "2000-06-01"
+
+
+def _current_subs(spark, sf):
+    """Current subscription table: the latest version of each from the log."""
+    return latest_version(fx.subscriptions_stream(spark, sf), "subscription_id",
+                          reconcile.TIE_BREAK_ORDER).drop("cdc_operation", "cdc_timestamp", "cdc_ts_ms")
+
+
+def _current_invoices(spark, sf):
+    return serving.current_invoices(fx.invoices_stream(spark, sf)).drop("cdc_operation", "cdc_timestamp",
+                                                                        "cdc_ts_ms")
+
+
+@register("billing_due")
+def q_billing_due(spark, sf):
+    return billing.billing_due(_current_subs(spark, sf), BILLING_AS_OF)
+
+
+@register("billing_run")
+def q_billing_run(spark, sf):
+    return billing.billing_run(_current_subs(spark, sf), BILLING_AS_OF).invoices
+
+
+@register("retry_candidates")
+def q_retry_candidates(spark, sf):
+    return billing.retry_candidates(_current_invoices(spark, sf), BILLING_AS_OF)
+
+
+def _retries(spark, sf):
+    return billing.apply_retries(_current_invoices(spark, sf), fx.payment_attempts_stream(spark, sf),
+                                 _current_subs(spark, sf), fx.merchants(spark, sf), BILLING_AS_OF)
+
+
+@register("retry_apply_invoices")
+def q_retry_apply_invoices(spark, sf):
+    return _retries(spark, sf).invoices
+
+
+@register("retry_apply_subscriptions")
+def q_retry_apply_subscriptions(spark, sf):
+    return _retries(spark, sf).subscriptions
+
+
+@register("retry_apply_merchants")
+def q_retry_apply_merchants(spark, sf):
+    return _retries(spark, sf).merchants
+
+
+@register("trial_expiry")
+def q_trial_expiry(spark, sf):
+    return billing.expire_trials(_current_subs(spark, sf), BILLING_AS_OF)
+
+
+@register("scheduled_cancellation")
+def q_scheduled_cancellation(spark, sf):
+    return billing.cancel_scheduled(_current_subs(spark, sf), BILLING_AS_OF)
+
+
+@register("plan_change_apply")
+def q_plan_change_apply(spark, sf):
+    return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
+                                      fx.plan_changes_stream(spark, sf)).subscriptions
+
+
+@register("plan_change_apply_merchants")
+def q_plan_change_apply_merchants(spark, sf):
+    return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
+                                      fx.plan_changes_stream(spark, sf)).merchants

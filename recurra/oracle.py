@@ -429,3 +429,97 @@ SQL["last_invoices_per_merchant"] = with_fixtures(f"""WITH {_CURRENT_INVOICES}
 SELECT merchant_id, rang, invoice_id, subscription_id, montant_cad, statut, date_emission FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY merchant_id ORDER BY date_emission DESC NULLS LAST, invoice_id DESC) AS INTEGER) AS rang
   FROM cur_inv) x WHERE rang <= 12""", "invoices_stream")
+
+# ---------------------------------------------------------------- billing jobs
+
+NOW = "TIMESTAMP '2000-06-01 00:00:00'"
+TODAY = "DATE '2000-06-01'"
+_SUB_COLS = _COLS["subscriptions"]
+_CUR = """
+cur_subs AS (SELECT {cols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY subscription_id
+    ORDER BY updated_at DESC NULLS LAST, montant_mensuel_cad DESC NULLS LAST, cdc_ts_ms DESC NULLS LAST) AS rn
+  FROM subscriptions_stream) x WHERE rn = 1),
+cur_invoices AS (SELECT {icols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY updated_at DESC NULLS LAST, cdc_ts_ms DESC NULLS LAST) AS rn
+  FROM invoices_stream) x WHERE rn = 1)""".format(cols=_SUB_COLS, icols=_COLS["invoices"])
+_BILLING_TABLES = ("subscriptions_stream", "invoices_stream", "payment_attempts_stream", "plan_changes_stream",
+                   "merchants")
+
+
+def _billing(body: str) -> str:
+    return with_fixtures(f"WITH {_CUR},\n{body.strip()[5:]}" if body.strip().startswith("WITH ")
+                         else f"WITH {_CUR}\n{body}", *_BILLING_TABLES)
+
+
+SQL["billing_due"] = _billing(f"""
+SELECT subscription_id, merchant_id, montant_mensuel_cad, date_prochain_paiement,
+       CAST(date_prochain_paiement + INTERVAL 1 MONTH AS DATE) AS date_prochain_paiement_suivante
+FROM cur_subs WHERE statut = 'active' AND date_prochain_paiement <= {TODAY}""")
+
+SQL["billing_run"] = _billing(f"""
+SELECT 'INV-' || substr(subscription_id, 5) || '-20000601' AS invoice_id, merchant_id, subscription_id,
+       montant_mensuel_cad AS montant_cad, 'pending' AS statut, {TODAY} AS date_emission, {TODAY} AS date_echeance,
+       CAST(NULL AS TIMESTAMP) AS date_paiement, 1 AS tentatives_paiement, {NOW} AS updated_at
+FROM cur_subs WHERE statut = 'active' AND date_prochain_paiement <= {TODAY}""")
+
+_CAND = f"""
+cand AS (SELECT * FROM cur_invoices WHERE statut = 'failed' AND tentatives_paiement < 3
+         AND updated_at < {NOW} - INTERVAL 3 DAY)"""
+SQL["retry_candidates"] = _billing(f"WITH {_CAND}\nSELECT * FROM cand")
+
+_TRIED = _CAND + """,
+outc AS (SELECT invoice_id, tentative_numero AS n, statut AS outcome FROM (
+  SELECT *, row_number() OVER (PARTITION BY invoice_id, tentative_numero
+    ORDER BY created_at DESC NULLS LAST, attempt_id DESC NULLS LAST) AS rn
+  FROM payment_attempts_stream) x WHERE rn = 1),
+tried AS (SELECT c.*, o.n, o.outcome FROM cand c JOIN outc o
+          ON c.invoice_id = o.invoice_id AND c.tentatives_paiement + 1 = o.n),
+churned AS (SELECT DISTINCT merchant_id FROM tried WHERE NOT (outcome = 'succeeded') AND n >= 3)"""
+
+SQL["retry_apply_invoices"] = _billing(f"""WITH {_TRIED}
+SELECT invoice_id, merchant_id, subscription_id, montant_cad,
+       CASE WHEN outcome = 'succeeded' THEN 'paid' ELSE statut END AS statut, date_emission, date_echeance,
+       CASE WHEN outcome = 'succeeded' THEN {NOW} ELSE date_paiement END AS date_paiement,
+       CAST(n AS INTEGER) AS tentatives_paiement, {NOW} AS updated_at
+FROM tried""")
+
+SQL["retry_apply_subscriptions"] = _billing(f"""WITH {_TRIED}
+SELECT subscription_id, merchant_id, plan, 'churned' AS statut, montant_mensuel_cad, devise, date_debut,
+       date_prochain_paiement, periode_essai_fin, annulation_schedulee, {NOW} AS updated_at
+FROM cur_subs WHERE statut = 'active' AND merchant_id IN (SELECT merchant_id FROM churned)""")
+
+SQL["retry_apply_merchants"] = _billing(f"""WITH {_TRIED}
+SELECT merchant_id, nom, email, plan, 'churned' AS statut, date_inscription, pays, province, {NOW} AS updated_at
+FROM merchants WHERE merchant_id IN (SELECT merchant_id FROM churned)""")
+
+SQL["trial_expiry"] = _billing(f"""
+SELECT subscription_id, merchant_id, plan, 'churned' AS statut, montant_mensuel_cad, devise, date_debut,
+       date_prochain_paiement, periode_essai_fin, annulation_schedulee, {NOW} AS updated_at
+FROM cur_subs WHERE statut = 'trial' AND periode_essai_fin IS NOT NULL
+  AND CAST(periode_essai_fin AS TIMESTAMP) < {NOW}""")
+
+SQL["scheduled_cancellation"] = _billing(f"""
+SELECT subscription_id, merchant_id, plan, 'cancelled' AS statut, montant_mensuel_cad, devise, date_debut,
+       date_prochain_paiement, periode_essai_fin, FALSE AS annulation_schedulee, {NOW} AS updated_at
+FROM cur_subs WHERE annulation_schedulee = TRUE AND date_prochain_paiement <= {TODAY}""")
+
+
+def _latest_change(key: str) -> str:
+    return f"""(SELECT {key}, nouveau_plan, nouveau_montant_cad, updated_at AS at FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key}
+    ORDER BY updated_at DESC NULLS LAST, cdc_ts_ms DESC NULLS LAST, change_id DESC NULLS LAST) AS rn
+  FROM plan_changes_stream) x WHERE rn = 1)"""
+
+
+SQL["plan_change_apply"] = _billing(f"""
+SELECT s.subscription_id, s.merchant_id, c.nouveau_plan AS plan, s.statut, c.nouveau_montant_cad AS montant_mensuel_cad,
+       s.devise, s.date_debut, s.date_prochain_paiement, s.periode_essai_fin, s.annulation_schedulee, c.at AS updated_at
+FROM cur_subs s JOIN {_latest_change("subscription_id")} c ON s.subscription_id = c.subscription_id
+WHERE c.at >= s.updated_at""")
+
+SQL["plan_change_apply_merchants"] = _billing(f"""
+SELECT m.merchant_id, m.nom, m.email, c.nouveau_plan AS plan, m.statut, m.date_inscription, m.pays, m.province,
+       c.at AS updated_at
+FROM merchants m JOIN {_latest_change("merchant_id")} c ON m.merchant_id = c.merchant_id
+WHERE c.at >= m.updated_at""")
