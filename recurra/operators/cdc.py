@@ -131,10 +131,16 @@ def decode(raw: DataFrame, value: str = "value") -> Decoded:
     Dead letters are unparseable messages (C8) and log rows missing a
     REQUIRED key (C13); both keep the received text and a reason.
     """
-    e = parse_envelope(raw, value)
+    return split(parse_envelope(raw, value), value)
+
+
+def split(envelope: DataFrame, value: str = "value") -> Decoded:
+    """``decode`` on an already parsed envelope (e.g. a persisted micro-batch)."""
+    e = envelope
     e = evaluate_once(e, e.columns, _k=F.from_json(F.col("after"), _REQUIRED_ROW))
     e = e.withColumn("_missing", F.when(~F.col("corrupt") & F.col("has_after"), _missing_required(F.col("_k"))))
-    passthrough = [c for c in raw.columns if c != value]
+    derived = {"table", "op", "ts_ms", "before", "after", "has_after", "corrupt", "processed_at", "_k", "_missing"}
+    passthrough = [c for c in e.columns if c != value and c not in derived]
     dead = e.filter(F.col("corrupt") | F.col("_missing").isNotNull()).select(
         *passthrough, F.when(F.col("corrupt"), F.lit(None).cast("string")).otherwise(F.col("table")).alias("table"),
         F.col(value).alias("value"),
