@@ -134,8 +134,13 @@ from recurra.operators import cdc  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 
-def _decoded(spark, sf):
-    return cdc.decode(fx.cdc_messages(spark, sf))
+def _decoded(spark, sf, table=None):
+    """Decoded CDC traffic; with ``table``, only that table's topic is read
+    (one topic per table), so the other topics are never parsed."""
+    msgs = fx.cdc_messages(spark, sf)
+    if table is not None:
+        msgs = msgs.filter(F.col("topic") == F.lit(f"{fx.CDC_PREFIX}.{fx.CDC_DB}.{table}"))
+    return cdc.decode(msgs)
 
 
 @register("cdc_envelope")
@@ -149,7 +154,7 @@ def q_cdc_envelope(spark, sf):
 
 def _normalised(table):
     def q(spark, sf):
-        return cdc.normalise(_decoded(spark, sf).ok, table).drop("cdc_timestamp")
+        return cdc.normalise(_decoded(spark, sf, table).ok, table).drop("cdc_timestamp")
     return q
 
 
@@ -159,13 +164,12 @@ for _t in ["subscriptions", "invoices", "payment_attempts", "plan_changes", "mer
 
 def _long(spark, sf, type_name):
     """Every column of one type, over all tables, as (table, id, cdc_ts_ms, column, value)."""
-    ok = _decoded(spark, sf).ok
     out = None
     for t, (schema, key, _) in schemas.TABLES.items():
         cols = [f.name for f in schema.fields if f.dataType.typeName() == type_name]
         if not cols:
             continue
-        rows = cdc.normalise(ok, t)
+        rows = cdc.normalise(_decoded(spark, sf, t).ok, t)
         long = rows.unpivot([key, "cdc_ts_ms"], cols, "column_name", "value") \
             .select(F.lit(t).alias("source_table"), F.col(key).alias("entity_id"), "cdc_ts_ms",
                     "column_name", "value")
