@@ -330,3 +330,16 @@ def q_plan_change_apply(spark, sf):
 def q_plan_change_apply_merchants(spark, sf):
     return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
                                       fx.plan_changes_stream(spark, sf)).merchants
+
+
+# ---------------------------------------------------------------- de-duplicated variants (one row per subscription)
+
+@register("mrr_current_latest")
+def q_mrr_current_latest(spark, sf):
+    return metrics.mrr_current(fx.subscriptions_stream(spark, sf), latest_only=True)
+
+
+@register("mrr_waterfall_latest")
+def q_mrr_waterfall_latest(spark, sf):
+    return metrics.mrr_waterfall(fx.subscriptions_stream(spark, sf), fx.plan_changes_stream(spark, sf),
+                                 latest_only=True)
