@@ -137,10 +137,7 @@ from pyspark.sql import functions as F  # noqa: E402
 def _decoded(spark, sf, table=None):
     """Decoded CDC traffic; with ``table``, only that table's topic is read
     (one topic per table), so the other topics are never parsed."""
-    msgs = fx.cdc_messages(spark, sf)
-    if table is not None:
-        msgs = msgs.filter(F.col("topic") == F.lit(f"{fx.CDC_PREFIX}.{fx.CDC_DB}.{table}"))
-    return cdc.decode(msgs)
+    return cdc.decode(fx.cdc_messages(spark, sf, (table,) if table else None))
 
 
 @register("cdc_envelope")

@@ -12,6 +12,8 @@ The same mapping is written in SQL for the DuckDB oracle (``recurra.oracle``).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,23 @@ PROVINCES = ["QC", "ON", "BC", "AB"]
 KEY_PLAN = ["starter", "pro", "enterprise", "enterprise_plus"]
 
 
+def _memo(fn):
+    """Reuse the DataFrame (the plan object, not data) built for the same
+    application, input folder and arguments: building these plans costs
+    thousands of driver round trips and a footer read per table, and the
+    inputs are read-only. Every action still recomputes from the files."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), args)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args)
+        return cache[key]
+    return wrapper
+
+
+@_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -59,6 +78,7 @@ def _plan_price(plan: Column) -> Column:
     return _money(_case(plan, PLAN_PRICES, None))
 
 
+@_memo
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     first_order = table(spark, sf_dir, "orders").select(F.min("o_orderdate")).scalar()
@@ -77,6 +97,7 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def subscriptions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key, status, ts = o.o_orderkey, o.o_orderstatus, o.o_orderdate
@@ -113,6 +134,7 @@ SUBSCRIPTION_COLUMNS = ["subscription_id", "merchant_id", "plan", "statut", "mon
 SUBSCRIPTION_VERSION_ORDER = ("updated_at", "montant_mensuel_cad", "cdc_ts_ms")
 
 
+@_memo
 def subscriptions_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot of the operational table: the current version of each
     subscription, minus the ones deleted since (ids ending in 9, only in the
@@ -127,6 +149,7 @@ def subscriptions_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*SUBSCRIPTION_COLUMNS))
 
 
+@_memo
 def invoices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     ts = o.o_orderdate
@@ -148,10 +171,12 @@ def invoices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def payment_attempts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _attempts(spark, sf_dir).drop("event_type")
 
 
+@_memo
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     failed = e.event_type.isin("error", "view")
@@ -173,6 +198,7 @@ def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def plan_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 == 0)
     ts = o.o_orderdate
@@ -248,7 +274,9 @@ def _message(tbl: str, before: Column, after: Column, op: Column, ts_ms: Column)
     return F.to_json(env)
 
 
-def cdc_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+@_memo
+def cdc_messages(spark: SparkSession, sf_dir: str, topics: tuple[str, ...] | None = None,
+                 partitions: int | None = None) -> DataFrame:
     """The CDC topic traffic the source tables would produce: (topic, value).
 
     Every row version of every table is one message. Subscriptions that are
@@ -259,38 +287,53 @@ def cdc_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None
     Like a partitioned topic, messages are spread over ``partitions`` by
     (topic, primary key) -- the producer-side key partitioning -- so decoding
     runs on all cores instead of one task per (single row group) input file.
+    ``topics`` (table names) restricts the traffic to those tables' topics.
     """
+    want = set(topics or WIRE_FORMAT)
     raw_topic = lambda t: F.lit(f"{CDC_PREFIX}.{CDC_DB}.{t}")
     no_before = F.lit(None).cast("string")
     parts = []
     for tbl, build in [("subscriptions", subscriptions_stream), ("invoices", invoices_stream),
                        ("plan_changes", plan_changes_stream)]:
+        if tbl not in want:
+            continue
         d = build(spark, sf_dir)
         parts.append(d.select(raw_topic(tbl).alias("topic"), F.col(_KEYS[tbl]).alias("_key"),
                               _message(tbl, no_before, _encode_after(d, tbl), F.col("cdc_operation"),
                                        F.col("cdc_ts_ms")).alias("value")))
+    if "payment_attempts" in want:
+        parts += _attempt_messages(spark, sf_dir, raw_topic, no_before)
+    if "merchants" in want:
+        m = merchants(spark, sf_dir)
+        parts.append(m.select(raw_topic("merchants").alias("topic"), F.col("merchant_id").alias("_key"),
+                              _message("merchants", no_before, _encode_after(m, "merchants"), F.lit("c"),
+                                       F.regexp_extract("merchant_id", r"(\d+)$", 1).cast("bigint"))
+                              .alias("value")))
+    if "subscriptions" in want:
+        parts.append(_delete_messages(spark, sf_dir, raw_topic))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    n = partitions or spark.sparkContext.defaultParallelism
+    return out.repartition(n, "topic", "_key").drop("_key")
+
+
+def _attempt_messages(spark, sf_dir, raw_topic, no_before) -> list[DataFrame]:
     a = _attempts(spark, sf_dir)
     msg = _message("payment_attempts", no_before, _encode_after(a, "payment_attempts"),
                    F.col("cdc_operation"), F.col("cdc_ts_ms"))
     copies = F.array(msg, F.when(F.col("event_type") == "error", F.substring(msg, 1, 40)))
-    parts.append(a.select(raw_topic("payment_attempts").alias("topic"), F.col("attempt_id").alias("_key"),
-                          F.explode(copies).alias("value")).filter(F.col("value").isNotNull()))
-    m = merchants(spark, sf_dir)
-    parts.append(m.select(raw_topic("merchants").alias("topic"), F.col("merchant_id").alias("_key"),
-                          _message("merchants", no_before, _encode_after(m, "merchants"), F.lit("c"),
-                                   F.regexp_extract("merchant_id", r"(\d+)$", 1).cast("bigint"))
-                          .alias("value")))
+    return [a.select(raw_topic("payment_attempts").alias("topic"), F.col("attempt_id").alias("_key"),
+                     F.explode(copies).alias("value")).filter(F.col("value").isNotNull())]
+
+
+def _delete_messages(spark, sf_dir, raw_topic) -> DataFrame:
     gone = (subscriptions_stream(spark, sf_dir).filter(F.col("subscription_id").endswith("9"))
             .groupBy("subscription_id", "merchant_id").agg(F.max("cdc_ts_ms").alias("last")))
     before = F.to_json(F.struct("subscription_id", "merchant_id"))
-    parts.append(gone.select(raw_topic("subscriptions").alias("topic"), F.col("subscription_id").alias("_key"),
-                             _message("subscriptions", before, F.lit(None).cast("string"), F.lit("d"),
-                                      F.col("last") + 1).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    n = partitions or spark.sparkContext.defaultParallelism
-    return out.repartition(n, "topic", "_key").drop("_key")
+    return gone.select(raw_topic("subscriptions").alias("topic"), F.col("subscription_id").alias("_key"),
+                       _message("subscriptions", before, F.lit(None).cast("string"), F.lit("d"),
+                                F.col("last") + 1).alias("value"))
 
 
 _KEYS = {"subscriptions": "subscription_id", "invoices": "invoice_id", "plan_changes": "change_id"}

@@ -40,6 +40,10 @@ def build_session(master: str = "local[8]", app: str = "recurra",
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # local mode runs every task inside the driver JVM: its heap is the
+        # executors' memory (the 1 GB default makes 8 threads GC-bound)
+        conf["spark.driver.memory"] = os.environ.get("RECURRA_DRIVER_MEMORY", "16g")
     conf.update(RUNTIME_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
