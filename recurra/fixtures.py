@@ -290,6 +290,11 @@ def cdc_messages(spark: SparkSession, sf_dir: str, topics: tuple[str, ...] | Non
     ``topics`` (table names) restricts the traffic to those tables' topics.
     """
     want = set(topics or WIRE_FORMAT)
+    n = partitions or spark.sparkContext.defaultParallelism
+
+    def by_key(df: DataFrame, key: str) -> DataFrame:
+        # key partitioning happens on the narrow rows, before encoding
+        return df.repartition(n, key)
     raw_topic = lambda t: F.lit(f"{CDC_PREFIX}.{CDC_DB}.{t}")
     no_before = F.lit(None).cast("string")
     parts = []
@@ -297,14 +302,14 @@ def cdc_messages(spark: SparkSession, sf_dir: str, topics: tuple[str, ...] | Non
                        ("plan_changes", plan_changes_stream)]:
         if tbl not in want:
             continue
-        d = build(spark, sf_dir)
+        d = by_key(build(spark, sf_dir), _KEYS[tbl])
         parts.append(d.select(raw_topic(tbl).alias("topic"), F.col(_KEYS[tbl]).alias("_key"),
                               _message(tbl, no_before, _encode_after(d, tbl), F.col("cdc_operation"),
                                        F.col("cdc_ts_ms")).alias("value")))
     if "payment_attempts" in want:
-        parts += _attempt_messages(spark, sf_dir, raw_topic, no_before)
+        parts += _attempt_messages(by_key(_attempts(spark, sf_dir), "attempt_id"), raw_topic, no_before)
     if "merchants" in want:
-        m = merchants(spark, sf_dir)
+        m = by_key(merchants(spark, sf_dir), "merchant_id")
         parts.append(m.select(raw_topic("merchants").alias("topic"), F.col("merchant_id").alias("_key"),
                               _message("merchants", no_before, _encode_after(m, "merchants"), F.lit("c"),
                                        F.regexp_extract("merchant_id", r"(\d+)$", 1).cast("bigint"))
@@ -314,12 +319,10 @@ def cdc_messages(spark: SparkSession, sf_dir: str, topics: tuple[str, ...] | Non
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    n = partitions or spark.sparkContext.defaultParallelism
-    return out.repartition(n, "topic", "_key").drop("_key")
+    return out.drop("_key")
 
 
-def _attempt_messages(spark, sf_dir, raw_topic, no_before) -> list[DataFrame]:
-    a = _attempts(spark, sf_dir)
+def _attempt_messages(a: DataFrame, raw_topic, no_before) -> list[DataFrame]:
     msg = _message("payment_attempts", no_before, _encode_after(a, "payment_attempts"),
                    F.col("cdc_operation"), F.col("cdc_ts_ms"))
     copies = F.array(msg, F.when(F.col("event_type") == "error", F.substring(msg, 1, 40)))

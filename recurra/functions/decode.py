@@ -80,7 +80,10 @@ def encode_epoch_millis(c: Column | str) -> Column:
 
 
 def encode_iso_utc(c: Column | str) -> Column:
-    return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """TIMESTAMP_NTZ (UTC wall clock) -> '2025-03-07T00:00:00Z'. Built from the
+    zone-free string form: ``date_format`` would pass through the session
+    zone and move wall-clock times that fall in a DST gap."""
+    return F.concat(F.regexp_replace(_c(c).cast("string"), " ", "T"), F.lit("Z"))
 
 
 def encode_decimal_base64(c: Column | str, scale: int = 2) -> Column:

@@ -63,7 +63,7 @@ def billing_run(subs: DataFrame, as_of, outcome: str | None = None) -> BillingRu
     statut = F.col(outcome) if outcome else F.lit("pending")
     invoices = due.select(
         F.concat(F.lit("INV-"), F.substring("subscription_id", 5, 64), F.lit("-"),
-                 F.date_format(today, "yyyyMMdd")).alias("invoice_id"),
+                 F.regexp_replace(today.cast("string"), "-", "")).alias("invoice_id"),
         "merchant_id", "subscription_id", F.col("montant_mensuel_cad").alias("montant_cad"),
         statut.alias("statut"), today.alias("date_emission"), today.alias("date_echeance"),
         (now if outcome else F.lit(None).cast("timestamp_ntz")).alias("date_paiement"),

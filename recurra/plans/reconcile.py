@@ -96,7 +96,7 @@ def _fill(template: str, **values: Column) -> Column:
 
 def alert_text(status: DataFrame) -> DataFrame:
     """The alert message for each status row, as a column."""
-    values = dict(date=F.date_format("date", "yyyy-MM-dd"),
+    values = dict(date=F.col("date").cast("string"),
                   streaming=money_text(F.col("mrr_streaming_cad")),
                   batch=money_text(F.col("mrr_batch_cad")),
                   gap=percent_text(F.col("ecart_pct")))

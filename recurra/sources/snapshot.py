@@ -29,7 +29,7 @@ def read_schema(table: str) -> StructType:
 
 
 def _options(sep: str, null_value: str | None) -> dict:
-    opts = {"sep": sep, "mode": "PERMISSIVE", "timestampNTZFormat": "yyyy-MM-dd[ HH:mm:ss][.SSSSSS]"}
+    opts = {"sep": sep, "mode": "PERMISSIVE"}
     if null_value is not None:
         opts["nullValue"] = null_value
     return opts
@@ -70,8 +70,7 @@ def dump_lines(df: DataFrame, table: str, sep: str = "\t", null_value: str = "NU
         c = F.col(f.name)
         if f.dataType.typeName() == "boolean":
             c = c.cast("int")
-        elif f.dataType.typeName() == "timestamp_ntz":
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        # timestamp_ntz and date render zone-free with a plain cast
         cols.append(F.coalesce(c.cast("string"), F.lit(null_value)))
     return df.select(F.concat_ws(sep, *cols).alias("value"))
 
