@@ -75,8 +75,12 @@ def encode_epoch_date(c: Column | str) -> Column:
 
 
 def encode_epoch_millis(c: Column | str) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> epoch millis."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), _c(c))
+    """TIMESTAMP_NTZ (UTC wall clock) -> epoch millis, from the zone-free date
+    and time fields (``timestamp_diff`` on NTZ passes through the session
+    zone and is off by an hour for wall times in a DST gap)."""
+    t = _c(c)
+    return (F.unix_date(F.to_date(t)).cast("bigint") * 86400000 + F.hour(t) * 3600000 + F.minute(t) * 60000
+            + F.floor(F.extract(F.lit("SECOND"), t) * 1000)).cast("bigint")
 
 
 def encode_iso_utc(c: Column | str) -> Column:
