@@ -145,12 +145,14 @@ class CdcJob:
             if _exists(spark, path):
                 old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
                 parts.append(old.select(*new.columns))
-            merged = merge_partials(_union(parts))
-            # cut the lineage to the files about to be replaced (reliable
-            # checkpoint in the shared checkpoint folder)
-            checkpoint_root(spark)
-            merged = merged.checkpoint(eager=True)
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # cut the lineage to the files about to be replaced: the merged
+            # buckets are written to a staging table in the job's shared
+            # folder (overwritten by every batch, so it does not grow), then
+            # swapped into the state bucket by bucket. A crash in between is
+            # repaired by the replay: the merge is idempotent.
+            staging = self.path("state_staging")
+            merge_partials(_union(parts)).write.mode("overwrite").parquet(staging)
+            (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("bucket").parquet(path))
         finally:
             new.unpersist()
