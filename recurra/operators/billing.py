@@ -34,13 +34,24 @@ def _cols(table: str) -> list[str]:
     return [f.name for f in schemas.TABLES[table][0].fields]
 
 
+def _throttle(df: DataFrame, max_rows: int | None, *order: str) -> DataFrame:
+    """L3: the reference processes at most ``n`` rows per timer tick. Off by
+    default (every due row is processed in one job); when set, the rows are
+    taken in an explicit order so the result is deterministic."""
+    if max_rows is None:
+        return df
+    return df.orderBy(*order).limit(max_rows)
+
+
 # ------------------------------------------------------------------ B1
 
-def billing_due(subs: DataFrame, as_of) -> DataFrame:
+def billing_due(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
     """Active subscriptions whose next payment date is due, with the date the
     next cycle moves to (+1 month, clamped to the month end)."""
     _, today = _now(as_of)
-    return (subs.filter((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today))
+    due = _throttle(subs.filter((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today)),
+                    max_rows, "date_prochain_paiement", "subscription_id")
+    return (due
             .select("subscription_id", "merchant_id", "montant_mensuel_cad", "date_prochain_paiement",
                     F.add_months("date_prochain_paiement", 1).alias("date_prochain_paiement_suivante")))
 
@@ -75,12 +86,13 @@ def billing_run(subs: DataFrame, as_of, outcome: str | None = None) -> BillingRu
 
 # ------------------------------------------------------------------ B2 / B3
 
-def retry_candidates(invoices: DataFrame, as_of) -> DataFrame:
+def retry_candidates(invoices: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
     """Failed invoices with fewer than 3 attempts, untouched for 3 days."""
     now, _ = _now(as_of)
-    return invoices.filter((F.col("statut") == "failed")
-                           & (F.col("tentatives_paiement") < MAX_ATTEMPTS)
-                           & (F.col("updated_at") < F.timestamp_add("DAY", F.lit(-RETRY_AFTER_DAYS), now)))
+    return _throttle(invoices.filter((F.col("statut") == "failed")
+                                     & (F.col("tentatives_paiement") < MAX_ATTEMPTS)
+                                     & (F.col("updated_at") < F.timestamp_add("DAY", F.lit(-RETRY_AFTER_DAYS), now))),
+                     max_rows, "updated_at", "invoice_id")
 
 
 class RetryResult(NamedTuple):
@@ -119,19 +131,24 @@ def apply_retries(invoices: DataFrame, attempts: DataFrame, subs: DataFrame, mer
 
 # ------------------------------------------------------------------ B4 / B5
 
-def expire_trials(subs: DataFrame, as_of) -> DataFrame:
+def expire_trials(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
     """Trial subscriptions whose trial ended before ``as_of`` -> churned."""
     now, _ = _now(as_of)
     end = F.col("periode_essai_fin")
-    return (subs.filter((F.col("statut") == "trial") & end.isNotNull() & (end.cast("timestamp_ntz") < now))
+    due = _throttle(subs.filter((F.col("statut") == "trial") & end.isNotNull() & (end.cast("timestamp_ntz") < now)),
+                    max_rows, "periode_essai_fin", "subscription_id")
+    return (due
             .withColumns({"statut": F.lit("churned"), "updated_at": now}).select(*_cols("subscriptions")))
 
 
-def cancel_scheduled(subs: DataFrame, as_of) -> DataFrame:
+def cancel_scheduled(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
     """Subscriptions flagged for cancellation whose payment date is due ->
     cancelled, flag cleared."""
     now, today = _now(as_of)
-    return (subs.filter((F.col("annulation_schedulee") == F.lit(True)) & (F.col("date_prochain_paiement") <= today))
+    due = _throttle(subs.filter((F.col("annulation_schedulee") == F.lit(True))
+                                & (F.col("date_prochain_paiement") <= today)),
+                    max_rows, "date_prochain_paiement", "subscription_id")
+    return (due
             .withColumns({"statut": F.lit("cancelled"), "annulation_schedulee": F.lit(False), "updated_at": now})
             .select(*_cols("subscriptions")))
 
