@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from recurra.operators import billing
 from recurra.operators.latest import latest_version
 from recurra.plans import metrics, reconcile, serving
-from recurra.session import tune
+from recurra.session import apply_cluster_defaults
 from recurra.sources import sinks, snapshot
 from recurra.sources.cdc_source import read_cdc_files
 from recurra.streaming.cdc_job import CdcJob
@@ -116,7 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--date", required=True)
     args = p.parse_args(argv)
 
-    spark = tune(SparkSession.builder.appName(f"recurra-{args.job}").getOrCreate())
+    spark = apply_cluster_defaults(SparkSession.builder.appName(f"recurra-{args.job}").getOrCreate())
     if args.job == "snapshot":
         print(run_snapshot(spark, args.input, args.output, args.sep, args.null_value))
     elif args.job == "reconcile":
