@@ -47,10 +47,12 @@ def decode_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Colu
 
 
 def decode_flag(c: Column | str) -> Column:
-    """0/1 (or JSON booleans) -> BOOLEAN. 0, '0', false, '' and null are false."""
+    """0/1 (or JSON booleans) -> BOOLEAN. Any numeric zero ('0', '0.0'),
+    false, '' and null are false; everything else is true."""
     c = _c(c)
     v = F.lower(F.trim(c))
-    return F.when(c.isNull() | v.isin("0", "false", ""), F.lit(False)).otherwise(F.lit(True))
+    zero = F.coalesce(v.try_cast("double") == F.lit(0.0), F.lit(False))
+    return F.when(c.isNull() | v.isin("false", "") | zero, F.lit(False)).otherwise(F.lit(True))
 
 
 def decode_timestamp(c: Column | str) -> Column:
