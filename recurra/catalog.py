@@ -9,10 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recurra import fixtures as fx
-from recurra.plans import metrics
+from recurra import schemas
+from recurra.operators import billing, cdc
+from recurra.operators import state as st
+from recurra.operators.latest import latest_version
+from recurra.plans import metrics, reconcile, serving
 from recurra.session import tune
+from recurra.sources import snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,9 +85,6 @@ def q_failed_payment_rate_corrected(spark, sf):
 
 # ---------------------------------------------------------------- versions, reconciliation
 
-from recurra.operators.latest import latest_version  # noqa: E402
-from recurra.plans import reconcile  # noqa: E402
-from recurra.sources import snapshot  # noqa: E402
 
 RECONCILE_AS_OF = "2001-08-01"
 
@@ -129,9 +132,6 @@ def q_snapshot_typed_invoices(spark, sf):
 
 # ---------------------------------------------------------------- CDC decoding
 
-from recurra import schemas  # noqa: E402
-from recurra.operators import cdc  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _decoded(spark, sf, table=None):
@@ -218,8 +218,6 @@ def q_cdc_topic_route(spark, sf):
 
 # ---------------------------------------------------------------- merchant state, serving
 
-from recurra.operators import state as st  # noqa: E402
-from recurra.plans import serving  # noqa: E402
 
 LOOKUP_MERCHANT = "MCH-000042"
 
@@ -256,7 +254,6 @@ def q_last_invoices_per_merchant(spark, sf):
 
 # ---------------------------------------------------------------- billing jobs
 
-from recurra.operators import billing  # noqa: E402
 
 BILLING_AS_OF = "2000-06-01"
 
@@ -340,3 +337,42 @@ def q_mrr_current_latest(spark, sf):
 def q_mrr_waterfall_latest(spark, sf):
     return metrics.mrr_waterfall(fx.subscriptions_stream(spark, sf), fx.plan_changes_stream(spark, sf),
                                  latest_only=True)
+
+
+# ---------------------------------------------------------------- the streaming job, end to end
+
+_STREAM_RUNS: dict = {}
+
+
+def _streamed(spark: SparkSession, sf: str):
+    """Run the streaming CDC job once (``availableNow``) over the traffic
+    derived from the driver tables and return it; the run lives under the
+    session's shared checkpoint folder. Batch and stream must agree, so the
+    results are checked against the batch oracles."""
+    from uuid import uuid4
+
+    from recurra.session import checkpoint_root
+    from recurra.sources.cdc_source import read_cdc_files, write_cdc_files
+    from recurra.streaming.cdc_job import CdcJob
+
+    key = (spark.sparkContext.applicationId, id(spark), sf.rstrip("/"))
+    if key not in _STREAM_RUNS:
+        run = uuid4().hex
+        root = f"{checkpoint_root(spark)}/streamed/{run}"
+        write_cdc_files(fx.cdc_messages(spark, sf), root + "/source")
+        job = CdcJob(root + "/out", buckets=16)
+        q = job.start(read_cdc_files(spark, root + "/source"), checkpoint=root + "/checkpoint",
+                      trigger={"availableNow": True}, name=f"cdc_{run}")
+        q.awaitTermination()
+        _STREAM_RUNS[key] = job
+    return _STREAM_RUNS[key]
+
+
+@register("merchant_state_streamed")
+def q_merchant_state_streamed(spark, sf):
+    return _streamed(spark, sf).merchant_state(spark)
+
+
+@register("mrr_current_streamed")
+def q_mrr_current_streamed(spark, sf):
+    return _streamed(spark, sf).view(spark, "mrr_current")
