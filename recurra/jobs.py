@@ -24,7 +24,7 @@ from recurra.operators.latest import latest_version
 from recurra.plans import metrics, reconcile, serving
 from recurra.session import apply_cluster_defaults
 from recurra.sources import sinks, snapshot
-from recurra.sources.cdc_source import read_cdc_files
+from recurra.sources.cdc_source import from_kafka, read_cdc_files
 from recurra.streaming.cdc_job import CdcJob
 
 
@@ -91,6 +91,17 @@ def register_metric_views(spark: SparkSession, logs: str) -> None:
     })
 
 
+def _stream_source(spark: SparkSession, args):
+    if args.format == "files":
+        return read_cdc_files(spark, args.source)
+    reader = spark.readStream.format(args.format)
+    for kv in args.option:
+        k, _, v = kv.partition("=")
+        reader = reader.option(k, v)
+    df = reader.load()
+    return from_kafka(df) if args.format == "kafka" else df.select("topic", F.col("value").cast("string"))
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="recurra.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -105,7 +116,11 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--log", required=True)
     r.add_argument("--date", default=None, help="day to reconcile (default: yesterday, UTC)")
     st_ = sub.add_parser("stream")
-    st_.add_argument("--source", required=True)
+    st_.add_argument("--source", required=True, help="directory of <topic>/<file> JSON lines, or the "
+                     "source name passed to --format")
+    st_.add_argument("--format", default="files", help="'files' or any streaming source yielding "
+                     "(topic, value), e.g. kafka")
+    st_.add_argument("--option", action="append", default=[], help="source option key=value (repeatable)")
     st_.add_argument("--output", required=True)
     st_.add_argument("--checkpoint", default=None)
     st_.add_argument("--trigger", default="15 minutes", help="processing-time interval or 'available-now'")
@@ -123,7 +138,7 @@ def main(argv: list[str] | None = None) -> None:
         print(run_reconciliation(spark, args.stream, args.batch, args.log, args.date))
     elif args.job == "stream":
         trig = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
-        CdcJob(args.output).start(read_cdc_files(spark, args.source), args.checkpoint, trig).awaitTermination()
+        CdcJob(args.output).start(_stream_source(spark, args), args.checkpoint, trig).awaitTermination()
     elif args.job == "billing":
         run_billing(spark, args.logs, args.merchants, args.output, args.date)
 
