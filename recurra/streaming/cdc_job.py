@@ -27,10 +27,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from recurra import schemas
 from recurra.operators import cdc
 from recurra.operators import state as st
+from recurra.functions.calendar import month_start
 from recurra.plans import metrics
 from recurra.session import checkpoint_root
 
@@ -166,10 +168,65 @@ class CdcJob:
         writer = writer.trigger(**(trigger or {"processingTime": "15 minutes"}))
         return writer.start()
 
+    # ---------------------------------------------------------------- compaction
+
+    @staticmethod
+    def _log_schema(table: str):
+        source = {v: k for k, v in schemas.LOG_TABLES.items()}[table]
+        return StructType(schemas.log_schema(source).fields + [StructField("batch_id", IntegerType(), True)])
+
+    def _read_log(self, spark: SparkSession, table: str) -> DataFrame:
+        """Per-batch log with its declared schema (an empty folder is an empty log)."""
+        return spark.read.schema(self._log_schema(table)).parquet(self.path("logs", table))
+
+    def _compacted_through(self, spark: SparkSession, table: str) -> int:
+        p = self.path("compaction", table)
+        if not _exists(spark, p):
+            return -1
+        return int(spark.read.parquet(p).first().compacted_through)      # one-row table
+
+    def compact(self, spark: SparkSession, table: str, through_batch: int) -> None:
+        """Rewrite the closed micro-batches (``batch_id <= through_batch``) of a
+        log into month partitions, then drop their per-batch directories.
+
+        Idempotent and crash-safe: compacted rows keep their ``batch_id`` and
+        a month is rebuilt from (compacted rows up to the previous watermark)
+        + (batches after it), so a rerun after a crash gives the same rows;
+        the watermark is written before any batch directory is removed, and
+        readers only take batches above it from the per-batch log.
+        """
+        done = self._compacted_through(spark, table)
+        if through_batch <= done:
+            return
+        ts = "created_at" if table == "payment_attempts_stream" else "updated_at"
+        fresh = (self._read_log(spark, table)
+                 .filter((F.col("batch_id") > done) & (F.col("batch_id") <= through_batch))
+                 .withColumn("mois", month_start(ts)))
+        months = [r.mois for r in fresh.select("mois").distinct().collect()]   # calendar-bounded
+        comp = self.path("compacted", table)
+        parts = [fresh]
+        if _exists(spark, comp) and months:
+            old = spark.read.parquet(comp)
+            parts.append(old.filter(F.col("mois").isin(months) & (F.col("batch_id") <= done))
+                         .select(*fresh.columns))
+        staging = self.path("compaction_staging", table)
+        _union(parts).write.mode("overwrite").parquet(staging)
+        (spark.read.parquet(staging).repartition("mois").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("mois").parquet(comp))
+        spark.createDataFrame([(through_batch,)], "compacted_through bigint") \
+            .write.mode("overwrite").parquet(self.path("compaction", table))
+        _remove_batches(spark, self.path("logs", table), through_batch)
+
     # ---------------------------------------------------------------- readers
 
     def log(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path("logs", table))
+        """The event log: compacted months plus the batches written since."""
+        done = self._compacted_through(spark, table)
+        fresh = self._read_log(spark, table).filter(F.col("batch_id") > done)
+        if done < 0:
+            return fresh
+        compacted = spark.read.parquet(self.path("compacted", table)).drop("mois")
+        return fresh.unionByName(compacted.select(*fresh.columns))
 
     def merchant_state(self, spark: SparkSession) -> DataFrame:
         return state_view(spark.read.parquet(self.path("state")))
@@ -190,6 +247,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _remove_batches(spark: SparkSession, path: str, through_batch: int) -> None:
+    """Delete ``batch_id=N`` directories with N <= through_batch (already compacted)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st_ in fs.listStatus(root):
+        name = st_.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= through_batch:
+            fs.delete(st_.getPath(), True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
