@@ -54,12 +54,24 @@ def run_reconciliation(spark: SparkSession, stream_path: str, batch_path: str, l
         row.unpersist()
 
 
+def read_log(spark: SparkSession, root: str, table: str):
+    """An event log: through the streaming job's reader (compacted months +
+    fresh batches) when ``root`` is a ``CdcJob`` output, else a plain table
+    ``<root>/<table>``."""
+    job = CdcJob(root)
+    jvm = spark._jvm
+    logs_dir = jvm.org.apache.hadoop.fs.Path(job.path("logs"))
+    if logs_dir.getFileSystem(spark._jsc.hadoopConfiguration()).exists(logs_dir):
+        return job.log(spark, table)
+    return spark.read.parquet(f"{root}/{table}")
+
+
 def run_billing(spark: SparkSession, logs: str, merchants_path: str, out: str, as_of: str) -> None:
-    subs = latest_version(spark.read.parquet(f"{logs}/subscriptions_stream"), "subscription_id",
+    subs = latest_version(read_log(spark, logs, "subscriptions_stream"), "subscription_id",
                           reconcile.TIE_BREAK_ORDER)
-    invoices = serving.current_invoices(spark.read.parquet(f"{logs}/invoices_stream"))
-    attempts = spark.read.parquet(f"{logs}/payment_attempts_stream")
-    changes = spark.read.parquet(f"{logs}/plan_changes_stream")
+    invoices = serving.current_invoices(read_log(spark, logs, "invoices_stream"))
+    attempts = read_log(spark, logs, "payment_attempts_stream")
+    changes = read_log(spark, logs, "plan_changes_stream")
     merchants = spark.read.parquet(merchants_path)
     run = billing.billing_run(subs, as_of)
     retries = billing.apply_retries(invoices, attempts, subs, merchants, as_of)
@@ -78,9 +90,9 @@ def run_billing(spark: SparkSession, logs: str, merchants_path: str, out: str, a
 
 
 def register_metric_views(spark: SparkSession, logs: str) -> None:
-    subs = spark.read.parquet(f"{logs}/subscriptions_stream")
-    changes = spark.read.parquet(f"{logs}/plan_changes_stream")
-    attempts = spark.read.parquet(f"{logs}/payment_attempts_stream")
+    subs = read_log(spark, logs, "subscriptions_stream")
+    changes = read_log(spark, logs, "plan_changes_stream")
+    attempts = read_log(spark, logs, "payment_attempts_stream")
     mrr = metrics.mrr_current(subs)
     churn = metrics.churn_monthly(subs)
     sinks.register_views(spark, {
