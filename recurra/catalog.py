@@ -376,3 +376,14 @@ def q_merchant_state_streamed(spark, sf):
 @register("mrr_current_streamed")
 def q_mrr_current_streamed(spark, sf):
     return _streamed(spark, sf).view(spark, "mrr_current")
+
+
+@register("churn_monthly_latest")
+def q_churn_monthly_latest(spark, sf):
+    return metrics.churn_monthly(fx.subscriptions_stream(spark, sf), latest_only=True)
+
+
+@register("nrr_monthly_latest")
+def q_nrr_monthly_latest(spark, sf):
+    return metrics.nrr_monthly(fx.subscriptions_stream(spark, sf), fx.plan_changes_stream(spark, sf),
+                               latest_only=True)
