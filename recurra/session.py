@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -86,20 +87,20 @@ def build_session(master: str = "local[8]", app: str = "recurra",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job state.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem named by
-    the cluster). Only when it is unset -- local tests -- a scratch folder is
-    created and registered.
+    The folder the session names in ``spark.checkpoint.dir``, or the one set in
+    code on the context. Where neither is set, a local session gets a scratch
+    folder of its own; on a cluster that is an error, since executors cannot
+    see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root.rstrip("/") + "/rdd")
-        return root.rstrip("/")
+    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
-        # set earlier in this process (tests): the parent holds our folders
-        return current.rstrip("/").rsplit("/", 2)[0]
-    root = tempfile.mkdtemp(prefix="recurra-ckpt-")
-    sc.setCheckpointDir(os.path.join(root, "rdd"))
-    return root
+        return current.rstrip("/")
+    if not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                           "that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="recurra-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
