@@ -17,7 +17,7 @@ All of it is built-in column functions in one scan, without a shuffle.
 Rows: a null, empty or blank text has no word and no line, and is rejected. A
 line without a word is neither kept nor lost. Very long texts are judged whole.
 Repeated rows give equal results, an empty table an empty one. Other columns are
-not read.
+not read, and kept as they are, but for columns named like the results.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import BLANKS, words
+from recurra.llm.common import BLANKS, let, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -34,6 +34,9 @@ MAX_REPEAT_PERCENT = 20
 LONG_LINE = 20        # words; running text may be cut off anywhere
 MAX_LOSS = 0.5        # of the word characters
 
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_passing_lines",
+           "kept_chars", "base_failed", "kept", "cleaned")
+
 # Patterns of one line, blanks trimmed.
 CLOSED = "[.!?:;…。！？][\"'”’»)\\]]*$"
 CROWDED = "(?:[!?]{2,}.*){3,}"
@@ -77,44 +80,47 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
-def _repeat_words(w: Column, hashes: Column) -> Column:
+def _window_hashes(w: Column) -> Column:
+    """One hash for each window of words."""
+    return F.when(F.size(w) >= WINDOW, F.transform(
+        F.slice(w, F.lit(1), F.size(w) - (WINDOW - 1)),
+        lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _repeat_words(hashes: Column) -> Column:
     """Words covered by the windows, given by one hash each, that occur twice or more."""
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(
-        F.aggregate(F.array(placed), F.lit(0), lambda _, p: _covered(F.array_sort(F.transform(
-            F.filter(p, lambda x, i: F.coalesce(F.get(p, i - 1)["h"] == x["h"], F.lit(False))
-                     | F.coalesce(F.get(p, i + 1)["h"] == x["h"], F.lit(False))), lambda x: x["i"])))))
+    def starts(p: Column) -> Column:
+        again = F.filter(p, lambda x, i: F.coalesce(F.get(p, i - 1)["h"] == x["h"], F.lit(False))
+                         | F.coalesce(F.get(p, i + 1)["h"] == x["h"], F.lit(False)))
+        return F.array_sort(F.transform(again, lambda x: x["i"]))
 
+    def covered(s: Column) -> Column:
+        return _sum(F.transform(s, lambda at, i: F.least(F.lit(WINDOW), F.coalesce(F.get(s, i + 1) - at, F.lit(WINDOW)))))
 
-def _covered(starts: Column) -> Column:
-    """Words covered by windows at these rising starts."""
-    bounded = F.transform(starts, lambda s, i: F.least(F.lit(WINDOW), F.coalesce(F.get(starts, i + 1) - s, F.lit(WINDOW))))
-    return _sum(bounded)
+    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(
+        let(placed, lambda p: let(starts(p), covered)))
 
 
 def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns of every row and its verdict, with the cleaned text (passing lines joined by newlines)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in RESULTS]).alias("row")
     held = docs.select(row, F.coalesce(F.col(text), F.lit("")).alias("t"))
-    held = held.withColumn("w", words(F.col("t")))
-    held = held.withColumn("hashes", F.when(F.size("w") >= WINDOW, F.transform(
-        F.slice("w", F.lit(1), F.size("w") - (WINDOW - 1)),
-        lambda x, i: F.xxhash64(x, *[F.get(F.col("w"), i + k) for k in range(1, WINDOW)])))
-        .otherwise(F.array().cast("array<bigint>")))
+    held = held.withColumn("w", let(words(F.col("t")), lambda w: F.struct(
+        F.size(w).alias("n"), let(_window_hashes(w), _repeat_words).alias("repeated"))))
     blank = F.lit(BLANKS)
     held = (held.withColumn("with_word", F.filter(F.split("t", "\n"), lambda x: F.trim(x, blank) != ""))
             .withColumn("passing", clean_lines(F.col("t"))))
     chars, kept_chars = _word_chars(F.col("t")), F.aggregate(
         "passing", F.lit(0), lambda a, x: a + _word_chars(x))
-    n = F.size("w")
+    n = F.col("w.n")
     out = held.select(
         "row", n.cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
         _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("with_word") - F.size(F.array_distinct("with_word"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("w"), F.col("hashes")).cast("long").alias("n_repeat_words"),
+        F.col("w.repeated").cast("long").alias("n_repeat_words"),
         F.size("with_word").cast("long").alias("n_lines"), F.size("passing").cast("long").alias("n_passing_lines"),
         kept_chars.cast("long").alias("kept_chars"), F.array_join("passing", "\n").alias("cleaned"))
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     lost = F.col("kept_chars") < (1 - MAX_LOSS) * F.col("word_chars")
-    return (out.withColumn("base_failed", base).withColumn("kept", ~base & ~lost)
-            .select("row.*", *[c for c in out.columns if c not in ("row", "cleaned")], "base_failed", "kept", "cleaned"))
+    return out.withColumn("base_failed", base).withColumn("kept", ~base & ~lost).select("row.*", *RESULTS)

@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import BLANKS, cut, words
+from recurra.llm.common import BLANKS, cut, let, words
 
 TRAIN_ROWS = 200_000
 TREES, DEPTH, SEED = 24, 3, 17
@@ -53,14 +53,14 @@ def statistics(text: Column) -> list[Column]:
     lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "")
     n_lines = F.greatest(F.size(lines), F.lit(1)).cast("double")
     closed = F.filter(lines, lambda x: x.rlike("[.!?][\"')\\]]*\\s*$"))
-    next_same = F.filter(w, lambda x, i: x == F.get(w, i + 1))
+    next_same = let(w, lambda v: F.size(F.filter(v, lambda x, i: x == F.get(v, i + 1))))
     upper = F.length(t) - F.length(F.regexp_replace(t, "\\p{Lu}", ""))
     values = {
         "log_words": F.log(F.size(w) + 1.0), "word_length": chars / n, "upper": upper / chars,
         "digits": _count(t, "0123456789") / chars, "symbols": _count(t, "#*$%&<>@^~=+_\\/") / chars,
         "marks": _count(t, ".,;:-'\"()") / chars, "exclaims": _count(t, "!?") / chars, "bars": _count(t, "|") / chars,
         "distinct_words": F.size(F.array_distinct(w)) / n, "distinct_lines": F.size(F.array_distinct(lines)) / n_lines,
-        "words_per_line": n / n_lines, "closed_lines": F.size(closed) / n_lines, "repeated_next": F.size(next_same) / n,
+        "words_per_line": n / n_lines, "closed_lines": F.size(closed) / n_lines, "repeated_next": next_same / n,
     }
     return [values[s].cast("double").alias(s) for s in STATISTICS]
 

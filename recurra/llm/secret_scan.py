@@ -18,7 +18,8 @@ between them, so everything runs on built-in column functions.
 
 Rows: a null or empty text has no span. Repeated rows give equal results, an
 empty table an empty one (and models of pure smoothing, which score every pair
-0). Very long texts are scanned whole. Other columns are not read.
+0). Very long texts are scanned whole. Other columns are not read, and kept as they
+are; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recurra.llm.common import let
+
 # The base patterns. Group 2 of assign is the value. The engine's
 # (?i) folds ASCII letters only.
 ASSIGN = "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -43,6 +46,7 @@ TOKEN = f"[0-9A-Za-z+/_=-]{{{TOKEN_CHARS},}}"
 PAIRS = len(ALPHABET) ** 2
 THRESHOLD = 0.8      # nats a character pair
 SMOOTHING = 0.5
+BACKOFF = 20.0       # pairs that a character's successors borrow from the frequencies of single characters
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -85,10 +89,9 @@ def _piece(text: Column, span: Column) -> Column:
 def _pairs(token: Column) -> Column:
     """Codes of the adjacent character pairs of a token."""
     codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    good = F.filter(codes, lambda c: c >= 0)
     k = len(ALPHABET)
-    return F.transform(F.slice(good, 2, F.size(good)),
-                       lambda c, i: F.get(good, i).cast("int") * k + c)
+    return let(F.filter(codes, lambda c: c >= 0), lambda good: F.transform(
+        F.slice(good, 2, F.size(good)), lambda c, i: F.get(good, i).cast("int") * k + c))
 
 
 def pair_counts(scanned: DataFrame) -> DataFrame:
@@ -118,8 +121,11 @@ class Models:
         k = len(ALPHABET)
         logp = []
         for label in (0, 1):
-            rows = [[counts.get((label, a * k + b), 0) + smoothing for b in range(k)] for a in range(k)]
-            logp.append([math.log(n / sum(row)) for row in rows for n in row])
+            seen = [[counts.get((label, a * k + b), 0) for b in range(k)] for a in range(k)]
+            total = sum(map(sum, seen)) + smoothing * k
+            # a character that was rare after any other is unlikely after one that was never seen, too
+            single = [(sum(row[b] for row in seen) + smoothing) / total for b in range(k)]
+            logp.append([math.log((n + BACKOFF * p) / (sum(row) + BACKOFF)) for row in seen for n, p in zip(row, single)])
         self.ratio = [r - o for o, r in zip(*logp)]
 
     @staticmethod
@@ -129,8 +135,7 @@ class Models:
     def score(self, token: Column) -> Column:
         """Mean log-likelihood ratio of a token's character pairs; 0 without a pair."""
         table = F.split(F.lit(",".join(f"{x:.6f}" for x in self.ratio)), ",").cast("array<double>")
-        pairs = _pairs(token)
-        total = F.aggregate(F.transform(pairs, lambda p: F.get(table, p)), F.lit(0.0), lambda a, x: a + x)
+        total = F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, p))
         return F.when(F.length(token) > 1, total / (F.length(token) - 1)).otherwise(F.lit(0.0))
 
 
@@ -146,13 +151,13 @@ def scan(docs: DataFrame, text: str = "text", models: Models | None = None, thre
     if models is None:
         models = Models.train(docs.select(t.alias("text")).withColumn("base", base_spans(F.col("text")))
                               .withColumn("tokens", _spans(F.col("text"), TOKEN, 3)))
-    row = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
+    row = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c != column]
     held = docs.select(F.struct(*row).alias("row"), t.alias("text"))
     found = held.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", _spans(F.col("text"), TOKEN, 3))
     added = F.filter("tokens", lambda s: ~_overlaps(F.col("base"), s)
                      & (models.score(_piece(F.col("text"), s)) > threshold))
     spans = F.when(F.size("tokens") > 0, F.array_sort(F.concat("base", added))).otherwise(F.col("base"))
-    return found.select("row.*", spans.alias(column))
+    return found.select("row", spans.alias("spans")).select("row.*", F.col("spans").alias(column))
 
 
 def digest(spans: Column) -> Column:
