@@ -23,7 +23,8 @@ Rows: a row without letters (null, empty, blank or unlettered text) has no text
 evidence; its language follows from the rest, and it is not accepted. Null or
 unknown declarations, suffixes and hosts are no evidence. Very long texts are
 read whole, in blocks. Repeated rows get equal results, an empty table an empty
-one. Other columns are returned as they are.
+one. Other columns are returned as they are; one named like the result is
+replaced.
 """
 
 from __future__ import annotations
@@ -162,7 +163,7 @@ class Fusion:
               out: str = "language_id") -> DataFrame:
         """``docs`` with a struct column ``out``: language, posterior, accepted, letters, text_language."""
         k = len(self.languages)
-        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != out]).alias("row")
         seen = docs.select(row, text_evidence(text, self.model).alias("e"), F.lower(declared).alias("declared"),
                            host.alias("host"), suffix.alias("suffix"))
         seen = (seen.join(self.hosts, F.col("host") == F.col("of_host"), "left")

@@ -27,7 +27,7 @@ the tasks; its size does not depend on the data.
 
 Rows: a null text has null tokens, an empty one none. Very long texts are
 encoded whole. Repeated rows get equal results, an empty table an empty one.
-Other columns are kept as they are.
+Other columns are kept as they are, but for columns named like the results.
 """
 
 from __future__ import annotations
@@ -223,7 +223,8 @@ def load(path: str = MODEL) -> Transducer:
 def encode_documents(docs: DataFrame, model: Transducer, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns with tokens (array of int), n_tokens and round_trip (decoding gives the text back)."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
+    own = ("tokens", "n_tokens", "round_trip")
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, *own)]
     fields = [docs.schema[c] for c in keep]
     schema = T.StructType([*fields, T.StructField("tokens", T.ArrayType(T.IntegerType(), False)),
                            T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])

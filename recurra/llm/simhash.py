@@ -39,6 +39,7 @@ from recurra.llm.common import components, cut
 
 BITS = 64
 BLOCK = 1 << 16       # shingles counted at once: bounds memory on very long texts
+PROBES = 1 << 18      # probes written at once
 STRING_BITS = 11      # longest bit string whose values are counted
 
 
@@ -204,9 +205,12 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
             for e in range(distance + 1):
                 flips += [sum(1 << b for b in c) for c in combinations(range(len(positions)), e)]
                 own = chosen[g] == e
-                if own.any():
-                    at = v[own][:, None] ^ np.array(flips, np.int64)[None, :]
-                    yield pd.DataFrame({"part": g, "value": at.ravel(), "fp": np.repeat(f[own], len(flips)), "probe": True})
+                masks = np.array(flips, np.uint64).view(np.int64)
+                step = max(1, PROBES // len(masks))
+                for i in range(0, int(own.sum()), step):
+                    at = v[own][i:i + step, None] ^ masks[None, :]
+                    yield pd.DataFrame({"part": g, "value": at.ravel(),
+                                        "fp": np.repeat(f[own][i:i + step], len(masks)), "probe": True})
 
     keyed = cut(fps.select("fp").mapInPandas(index, "part int, value long, fp long, probe boolean"), "simhash-index")
     held = keyed.where("NOT probe").select("part", "value", F.col("fp").alias("b"))
