@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def padded_id(prefix: str, n: Column, width: int) -> Column:
-    """'PREFIX-000042'. Like SQL lpad, a value wider than ``width`` is cut."""
-    return F.concat(F.lit(prefix + "-"), F.lpad(n.cast("string"), width, "0"))
+    """'PREFIX-000042': padded to ``width``, and never cut."""
+    digits = n.cast("string")
+    return F.concat(F.lit(prefix + "-"), F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits))
 
 
 def money_text(c: Column) -> Column:

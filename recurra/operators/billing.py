@@ -34,23 +34,13 @@ def _cols(table: str) -> list[str]:
     return [f.name for f in schemas.TABLES[table][0].fields]
 
 
-def _throttle(df: DataFrame, max_rows: int | None, *order: str) -> DataFrame:
-    """L3: the reference processes at most ``n`` rows per timer tick. Off by
-    default (every due row is processed in one job); when set, the rows are
-    taken in an explicit order so the result is deterministic."""
-    if max_rows is None:
-        return df
-    return df.orderBy(*order).limit(max_rows)
-
-
 # ------------------------------------------------------------------ B1
 
-def billing_due(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
+def billing_due(subs: DataFrame, as_of) -> DataFrame:
     """Active subscriptions whose next payment date is due, with the date the
     next cycle moves to (+1 month, clamped to the month end)."""
     _, today = _now(as_of)
-    due = _throttle(subs.filter((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today)),
-                    max_rows, "date_prochain_paiement", "subscription_id")
+    due = subs.filter((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today))
     return (due
             .select("subscription_id", "merchant_id", "montant_mensuel_cad", "date_prochain_paiement",
                     F.add_months("date_prochain_paiement", 1).alias("date_prochain_paiement_suivante")))
@@ -66,15 +56,15 @@ def billing_run(subs: DataFrame, as_of, outcome: str | None = None) -> BillingRu
 
     ``outcome`` names a column of ``subs`` holding the payment result
     ('paid'/'failed'); without it the invoices are 'pending'. Invoice ids are
-    derived from the subscription and the billing day, so a rerun of the same
-    day produces the same rows.
+    derived from the whole subscription id and the due date, so a rerun gives
+    the same rows, and two cycles billed on one day give two invoices.
     """
     now, today = _now(as_of)
     due = subs.filter((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today))
     statut = F.col(outcome) if outcome else F.lit("pending")
     invoices = due.select(
-        F.concat(F.lit("INV-"), F.substring("subscription_id", 5, 64), F.lit("-"),
-                 F.regexp_replace(today.cast("string"), "-", "")).alias("invoice_id"),
+        F.concat(F.lit("INV-"), "subscription_id", F.lit("-"),
+                 F.regexp_replace(F.col("date_prochain_paiement").cast("string"), "-", "")).alias("invoice_id"),
         "merchant_id", "subscription_id", F.col("montant_mensuel_cad").alias("montant_cad"),
         statut.alias("statut"), today.alias("date_emission"), today.alias("date_echeance"),
         (now if outcome else F.lit(None).cast("timestamp_ntz")).alias("date_paiement"),
@@ -86,13 +76,12 @@ def billing_run(subs: DataFrame, as_of, outcome: str | None = None) -> BillingRu
 
 # ------------------------------------------------------------------ B2 / B3
 
-def retry_candidates(invoices: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
+def retry_candidates(invoices: DataFrame, as_of) -> DataFrame:
     """Failed invoices with fewer than 3 attempts, untouched for 3 days."""
     now, _ = _now(as_of)
-    return _throttle(invoices.filter((F.col("statut") == "failed")
+    return invoices.filter((F.col("statut") == "failed")
                                      & (F.col("tentatives_paiement") < MAX_ATTEMPTS)
-                                     & (F.col("updated_at") < F.timestamp_add("DAY", F.lit(-RETRY_AFTER_DAYS), now))),
-                     max_rows, "updated_at", "invoice_id")
+                                     & (F.col("updated_at") < F.timestamp_add("DAY", F.lit(-RETRY_AFTER_DAYS), now)))
 
 
 class RetryResult(NamedTuple):
@@ -131,23 +120,21 @@ def apply_retries(invoices: DataFrame, attempts: DataFrame, subs: DataFrame, mer
 
 # ------------------------------------------------------------------ B4 / B5
 
-def expire_trials(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
+def expire_trials(subs: DataFrame, as_of) -> DataFrame:
     """Trial subscriptions whose trial ended before ``as_of`` -> churned."""
     now, _ = _now(as_of)
     end = F.col("periode_essai_fin")
-    due = _throttle(subs.filter((F.col("statut") == "trial") & end.isNotNull() & (end.cast("timestamp_ntz") < now)),
-                    max_rows, "periode_essai_fin", "subscription_id")
+    due = subs.filter((F.col("statut") == "trial") & end.isNotNull() & (end.cast("timestamp_ntz") < now))
     return (due
             .withColumns({"statut": F.lit("churned"), "updated_at": now}).select(*_cols("subscriptions")))
 
 
-def cancel_scheduled(subs: DataFrame, as_of, max_rows: int | None = None) -> DataFrame:
+def cancel_scheduled(subs: DataFrame, as_of) -> DataFrame:
     """Subscriptions flagged for cancellation whose payment date is due ->
     cancelled, flag cleared."""
     now, today = _now(as_of)
-    due = _throttle(subs.filter((F.col("annulation_schedulee") == F.lit(True))
-                                & (F.col("date_prochain_paiement") <= today)),
-                    max_rows, "date_prochain_paiement", "subscription_id")
+    due = subs.filter((F.col("annulation_schedulee") == F.lit(True))
+                                & (F.col("date_prochain_paiement") <= today))
     return (due
             .withColumns({"statut": F.lit("cancelled"), "annulation_schedulee": F.lit(False), "updated_at": now})
             .select(*_cols("subscriptions")))

@@ -12,11 +12,11 @@ _PLAN_BY_PRIORITY = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'enterprise_plus
                      "WHEN '3-MEDIUM' THEN 'pro' ELSE 'starter' END")
 _PRICE_BY_PRIORITY = ("CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 1499 WHEN '2-HIGH' THEN 799 "
                       "WHEN '3-MEDIUM' THEN 299 ELSE 99 END AS DECIMAL(10,2))")
-_MERCHANT_OF_CUST = "'MCH-'||lpad(CAST(o_custkey-o_custkey%2 AS VARCHAR),6,'0')"
+_MERCHANT_OF_CUST = "'MCH-'||lpad(CAST(o_custkey-o_custkey%2 AS VARCHAR),greatest(6,length(CAST(o_custkey-o_custkey%2 AS VARCHAR)))::INT,'0')"
 
 CTE = {
     "merchants": f"""
-SELECT 'MCH-'||lpad(CAST(c_custkey AS VARCHAR),6,'0') AS merchant_id, c_name AS nom, lower(c_name)||'@example.ca' AS email,
+SELECT 'MCH-'||lpad(CAST(c_custkey AS VARCHAR),greatest(6,length(CAST(c_custkey AS VARCHAR)))::INT,'0') AS merchant_id, c_name AS nom, lower(c_name)||'@example.ca' AS email,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'enterprise_plus' WHEN 'BUILDING' THEN 'enterprise' WHEN 'MACHINERY' THEN 'pro' ELSE 'starter' END AS plan,
   CASE c_custkey%4 WHEN 0 THEN 'trial' WHEN 3 THEN 'churned' ELSE 'active' END AS statut,
   DATE '1995-01-01' AS date_inscription, 'CA' AS pays,
@@ -24,7 +24,7 @@ SELECT 'MCH-'||lpad(CAST(c_custkey AS VARCHAR),6,'0') AS merchant_id, c_name AS
   o0 + INTERVAL '1' DAY * CAST((c_custkey*37)%2500 AS INT) AS updated_at
 FROM customer CROSS JOIN (SELECT min(o_orderdate) AS o0 FROM orders) m0""",
     "subscriptions_stream": f"""
-SELECT 'SUB-'||lpad(CAST(o_custkey AS VARCHAR),6,'0') AS subscription_id, {_MERCHANT_OF_CUST} AS merchant_id,
+SELECT 'SUB-'||lpad(CAST(o_custkey AS VARCHAR),greatest(6,length(CAST(o_custkey AS VARCHAR)))::INT,'0') AS subscription_id, {_MERCHANT_OF_CUST} AS merchant_id,
   {_PLAN_BY_PRIORITY} AS plan,
   CASE WHEN o_orderstatus='F' AND o_orderkey%3=0 THEN 'cancelled' WHEN o_orderstatus='F' AND o_orderkey%3=1 THEN 'churned'
        WHEN o_orderstatus='F' THEN 'past_due' WHEN o_orderstatus='P' AND o_orderkey%5=0 THEN 'trial' ELSE 'active' END AS statut,
@@ -44,8 +44,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id
       FROM subscriptions_stream) v
 WHERE rn=1 AND subscription_id NOT LIKE '%9'""",
     "invoices_stream": f"""
-SELECT 'INV-'||lpad(CAST(o_orderkey AS VARCHAR),9,'0') AS invoice_id, {_MERCHANT_OF_CUST} AS merchant_id,
-  'SUB-'||lpad(CAST(o_custkey AS VARCHAR),6,'0') AS subscription_id,
+SELECT 'INV-'||lpad(CAST(o_orderkey AS VARCHAR),greatest(9,length(CAST(o_orderkey AS VARCHAR)))::INT,'0') AS invoice_id, {_MERCHANT_OF_CUST} AS merchant_id,
+  'SUB-'||lpad(CAST(o_custkey AS VARCHAR),greatest(6,length(CAST(o_custkey AS VARCHAR)))::INT,'0') AS subscription_id,
   CAST(o_totalprice AS DECIMAL(10,2)) AS montant_cad,
   CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'P' THEN 'failed' ELSE 'pending' END AS statut,
   CAST(o_orderdate AS DATE) AS date_emission, CAST(o_orderdate + INTERVAL '15' DAY AS DATE) AS date_echeance,
@@ -53,8 +53,8 @@ SELECT 'INV-'||lpad(CAST(o_orderkey AS VARCHAR),9,'0') AS invoice_id, {_MERCHANT
   o_orderdate AS updated_at, 'c' AS cdc_operation, o_orderdate + INTERVAL '1' HOUR AS cdc_timestamp, o_orderkey AS cdc_ts_ms
 FROM orders""",
     "payment_attempts_stream": """
-SELECT 'ATT-'||lpad(CAST(event_id AS VARCHAR),9,'0') AS attempt_id, 'INV-'||lpad(CAST(event_id AS VARCHAR),9,'0') AS invoice_id,
-  'MCH-'||lpad(CAST(user_id AS VARCHAR),6,'0') AS merchant_id, CAST(value AS DECIMAL(10,2)) AS montant_cad,
+SELECT 'ATT-'||lpad(CAST(event_id AS VARCHAR),greatest(9,length(CAST(event_id AS VARCHAR)))::INT,'0') AS attempt_id, 'INV-'||lpad(CAST(event_id AS VARCHAR),greatest(9,length(CAST(event_id AS VARCHAR)))::INT,'0') AS invoice_id,
+  'MCH-'||lpad(CAST(user_id AS VARCHAR),greatest(6,length(CAST(user_id AS VARCHAR)))::INT,'0') AS merchant_id, CAST(value AS DECIMAL(10,2)) AS montant_cad,
   CASE WHEN event_type IN ('error','view') THEN 'failed' ELSE 'succeeded' END AS statut,
   CASE WHEN event_type IN ('error','view') THEN CASE event_id%4 WHEN 0 THEN 'insufficient_funds' WHEN 1 THEN 'card_expired'
        WHEN 2 THEN 'do_not_honor' ELSE 'lost_card' END END AS code_erreur,
@@ -63,8 +63,8 @@ SELECT 'ATT-'||lpad(CAST(event_id AS VARCHAR),9,'0') AS attempt_id, 'INV-'||lpad
   ts + INTERVAL '1' HOUR AS cdc_timestamp, event_id AS cdc_ts_ms
 FROM events""",
     "plan_changes_stream": f"""
-SELECT 'CHG-'||lpad(CAST(o_orderkey AS VARCHAR),9,'0') AS change_id, {_MERCHANT_OF_CUST} AS merchant_id,
-  'SUB-'||lpad(CAST(o_custkey AS VARCHAR),6,'0') AS subscription_id,
+SELECT 'CHG-'||lpad(CAST(o_orderkey AS VARCHAR),greatest(9,length(CAST(o_orderkey AS VARCHAR)))::INT,'0') AS change_id, {_MERCHANT_OF_CUST} AS merchant_id,
+  'SUB-'||lpad(CAST(o_custkey AS VARCHAR),greatest(6,length(CAST(o_custkey AS VARCHAR)))::INT,'0') AS subscription_id,
   {_PLAN_BY_PRIORITY} AS ancien_plan,
   CASE o_orderkey%4 WHEN 0 THEN 'starter' WHEN 1 THEN 'pro' WHEN 2 THEN 'enterprise' ELSE 'enterprise_plus' END AS nouveau_plan,
   {_PRICE_BY_PRIORITY} AS ancien_montant_cad,
@@ -458,7 +458,7 @@ SELECT subscription_id, merchant_id, montant_mensuel_cad, date_prochain_paiement
 FROM cur_subs WHERE statut = 'active' AND date_prochain_paiement <= {TODAY}""")
 
 SQL["billing_run"] = _billing(f"""
-SELECT 'INV-' || substr(subscription_id, 5) || '-20000601' AS invoice_id, merchant_id, subscription_id,
+SELECT 'INV-' || subscription_id || '-' || strftime(date_prochain_paiement, '%Y%m%d') AS invoice_id, merchant_id, subscription_id,
        montant_mensuel_cad AS montant_cad, 'pending' AS statut, {TODAY} AS date_emission, {TODAY} AS date_echeance,
        CAST(NULL AS TIMESTAMP) AS date_paiement, 1 AS tentatives_paiement, {NOW} AS updated_at
 FROM cur_subs WHERE statut = 'active' AND date_prochain_paiement <= {TODAY}""")
