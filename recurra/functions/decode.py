@@ -30,17 +30,23 @@ def decode_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Colu
 
     1. number or numeric text ('299.00', '299')
     2. base64 of the big-endian two's-complement unscaled integer ('dMw=' is
-       0x74CC = 29900 -> 299.00), 1 to 8 bytes; the sign comes from the top bit.
-    Anything else (missing or bad padding, more than 8 bytes) is null.
+       0x74CC = 29900 -> 299.00), 1 to 16 bytes; the sign comes from the top bit.
+       Text that reads as a number is never taken for base64.
+    Anything else (bad padding, more than DECIMAL holds) is null.
     """
     c = _c(c)
     target = f"decimal({precision},{scale})"
     as_number = c.try_cast(target)
     h = F.hex(F.try_to_binary(c, F.lit("base64")))
     sign_fill = F.when(F.substring(h, 1, 1) >= F.lit("8"), F.lit("F")).otherwise(F.lit("0"))
-    unscaled = F.conv(F.lpad(h, 16, sign_fill), 16, -10)
+    # two 64-bit halves, the upper one signed; the sum is null beyond 38 digits
+    full = F.lpad(h, 32, sign_fill)
+    upper = F.conv(F.substring(full, 1, 16), 16, -10).try_cast("decimal(20,0)")
+    lower = F.conv(F.substring(full, 17, 16), 16, 10).try_cast("decimal(20,0)")
+    half = F.lit("18446744073709551616").cast("decimal(20,0)")
+    unscaled = F.try_add(F.try_multiply(upper, half), lower).cast("string")
     as_bytes = F.when(
-        (F.length(h) >= 2) & (F.length(h) <= 16) & (F.length(c) % 4 == 0),
+        c.try_cast("double").isNull() & (F.length(h) >= 2) & (F.length(h) <= 32) & (F.length(c) % 4 == 0),
         F.concat(unscaled, F.lit(f"E-{scale}")).try_cast(target),
     )
     return F.coalesce(as_number, as_bytes)
@@ -63,7 +69,9 @@ def decode_timestamp(c: Column | str) -> Column:
     """
     c = _c(c)
     millis = c.try_cast("bigint")
-    from_millis = F.timestamp_add("MILLISECOND", millis, _epoch())
+    # years 1 to 9999; timestamp_add raises beyond them
+    in_range = F.when(millis.between(-62_135_596_800_000, 253_402_300_799_999), millis)
+    from_millis = F.timestamp_add("MILLISECOND", in_range, _epoch())
     zoned = F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(c)), _epoch())
     has_zone = c.rlike(r"(Z|[+-]\d\d:?\d\d)$")
     from_text = F.when(has_zone, zoned).otherwise(c.try_cast("timestamp_ntz"))

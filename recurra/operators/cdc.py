@@ -82,9 +82,8 @@ def parse_envelope(raw: DataFrame, value: str = "value") -> DataFrame:
         return F.when(wrapped, F.col("_j.payload." + field)).otherwise(F.col("_j." + field))
 
     after = pick("after")
-    # an empty image ('{}', '{ }', null) is no image; only short texts can be
-    empty = F.when(F.length(after) <= 16, F.regexp_replace(after, r"\s", "").isin("{}", "null")) \
-        .otherwise(F.lit(False))
+    # an empty image ('{}', '{ }', null) is no image
+    empty = F.coalesce(after.rlike(r"^\s*(\{\s*\}|null)\s*$"), F.lit(False))
     has_after = after.isNotNull() & ~empty
     corrupt = (v.isNull() | (F.trim(v) == "") | F.col("_j").isNull()
                | F.col("_j._corrupt").isNotNull())
