@@ -18,7 +18,7 @@ def read_cdc_files(spark: SparkSession, path: str, stream: bool = True,
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(path)
-    topic = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    topic = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:topic=)?([^/]+)/[^/]+$", 1)
     return df.select(topic.alias("topic"), "value")
 
 

@@ -207,11 +207,15 @@ class CdcJob:
         parts = [fresh]
         if _exists(spark, comp) and months:
             old = spark.read.parquet(comp)
-            parts.append(old.filter(F.col("mois").isin(months) & (F.col("batch_id") <= done))
+            # null times are a partition of their own
+            touched = F.col("mois").isin([m for m in months if m is not None])
+            if None in months:
+                touched = F.coalesce(touched, F.lit(False)) | F.col("mois").isNull()
+            parts.append(old.filter(touched & (F.col("batch_id") <= done))
                          .select(*fresh.columns))
         staging = self.path("compaction_staging", table)
         _union(parts).write.mode("overwrite").parquet(staging)
-        (spark.read.parquet(staging).repartition("mois").write.mode("overwrite")
+        (spark.read.parquet(staging).hint("rebalance", "mois").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("mois").parquet(comp))
         spark.createDataFrame([(through_batch,)], "compacted_through bigint") \
             .write.mode("overwrite").parquet(self.path("compaction", table))
