@@ -48,7 +48,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     jvm, sc = spark._jvm, spark.sparkContext
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables before the application ends; only what nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def components(edges: DataFrame) -> DataFrame:

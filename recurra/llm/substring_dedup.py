@@ -15,7 +15,7 @@ left.
   decides, so equal long windows agree. Both hashes are written with the
   anchor, so this level reads no text.
 * The asked length. Long windows whose extended anchor is repeated are hashed
-  to 128 bits and counted. Those found twice or more are removed.
+  to 96 bits and counted. Those found twice or more are removed.
 
 Counting is a grouped count with partial sums before the shuffle; candidates
 meet the counts in a semi join, which splits skewed keys. A document's own
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import cut
+from recurra.llm.common import cut, discard
 
 RIGHT, LEFT = 0, 1
 _SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))   # odd multipliers of the two hashes
@@ -127,10 +127,10 @@ def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
     return docs.join(named, same, "left").drop("of_doc_id", "of_text_hash")
 
 
-def _repeated(found: DataFrame, key: list[str], label: str) -> DataFrame:
-    """The rows of ``found`` whose key occurs twice or more."""
+def _repeated(found: DataFrame, key: list[str], label: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``found`` whose key occurs twice or more, and the table of those keys."""
     often = cut(found.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), label)
-    return found.join(often, key, "left_semi")
+    return found.join(often, key, "left_semi"), often
 
 
 def candidates(docs: DataFrame, length: int) -> DataFrame:
@@ -147,10 +147,13 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
                                         "anchor": (at * 2 + side).astype(np.int32), "short": short, "double": double})
 
     rows = cut(docs.mapInPandas(emit, "doc_id string, text_hash long, anchor int, short long, double long"), "anchors")
-    found = cut(_repeated(rows, ["short"], "short-repeats").drop("short"), "level-1")
-    side = found.withColumn("side", F.col("anchor").bitwiseAND(1))
-    return (_repeated(side, ["double", "side"], "double-repeats")
-            .groupBy(*KEY).agg(F.collect_set("anchor").alias("anchors")))
+    found, often = _repeated(rows, ["short"], "short-repeats")
+    found = cut(found.drop("short"), "level-1")
+    discard(rows, often)
+    twice, often = _repeated(found.withColumn("side", F.col("anchor").bitwiseAND(1)), ["double", "side"], "double-repeats")
+    out = cut(twice.groupBy(*KEY).agg(F.collect_set("anchor").alias("anchors")), "candidates")
+    discard(found, often)
+    return out
 
 
 def _covered(starts: np.ndarray, n: int, length: int) -> np.ndarray:
@@ -169,35 +172,44 @@ def remove_repeats(docs: DataFrame, length: int = 35, text: str = "text", doc_id
     """
     kind = docs.schema[doc_id].dataType
     docs, levels = _keyed(docs, text, doc_id), _Levels(length)
-    found = cut(candidates(docs, length), "candidates")
+    found = candidates(docs, length)
+    columns = [*KEY, "text", "starts", "high", "low", "n", "digest"]
 
     def long_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i in range(0, len(b), 256):
-                yield pd.DataFrame([hashed(*x) for x in b.iloc[i:i + 256][[*KEY, "text", "anchors"]].itertuples(index=False)],
-                                   columns=[*KEY, "text", "starts", "high", "low"])
+                part = b.iloc[i:i + 256][[*KEY, "text", "anchors"]]
+                yield pd.DataFrame([hashed(*x) for x in part.itertuples(index=False)], columns=columns)
 
     def hashed(i, k, t, anchors):
-        if anchors is None:
-            return i, k, t, None, None, None
-        a, _, anchor, side = levels.of(t.split())
+        w = (t or b"").split()
+        if anchors is None:      # nothing can go: done here, and without its text from here on
+            kept = b" ".join(w)
+            return i, k, kept if with_text else None, None, None, None, len(w), hashlib.sha256(kept).hexdigest()
+        a, _, anchor, side = levels.of(w)
         starts = np.flatnonzero(np.isin(anchor * 2 + side, np.asarray(anchors)))
-        high, low = (_windows(a, length, s)[starts].view(np.int64) for s in (0, 1))
-        return i, k, t, starts.astype(np.int32), high, low
+        high, low = (_windows(a, length, s)[starts] for s in (0, 1))
+        return i, k, t, starts.astype(np.int32), high.view(np.int64), low.astype(np.uint32).view(np.int32), None, None
 
-    held = cut(_with_lists(docs, found).mapInPandas(long_windows, "doc_id string, text_hash long, text binary, starts array<int>, "
-                                              "high array<long>, low array<long>"), "long-windows")
+    held = cut(_with_lists(docs, found).mapInPandas(
+        long_windows, "doc_id string, text_hash long, text binary, starts array<int>, high array<long>, low array<int>, "
+                      "n long, digest string"), "long-windows")
+    discard(found)
     each = (held.where("starts IS NOT NULL")
             .select(*KEY, F.explode(F.arrays_zip("starts", "high", "low")).alias("w"))
             .select(*KEY, F.col("w.starts").alias("start"), F.col("w.high").alias("high"), F.col("w.low").alias("low")))
-    hits = (_repeated(each, ["high", "low"], "long-repeats")
-            .groupBy(*KEY).agg(F.collect_set("start").alias("hits")))
+    twice, often = _repeated(each, ["high", "low"], "long-repeats")
+    hits = cut(twice.groupBy(*KEY).agg(F.collect_set("start").alias("hits")), "hits")
+    discard(often)
 
     def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for i, t, starts in zip(b["doc_id"], b["text"], b["hits"]):
-                w, gone = (t or b"").split(), 0
+            for i, t, n, digest, starts in zip(b["doc_id"], b["text"], b["n"], b["digest"], b["hits"]):
+                if digest is not None:
+                    out.append((i, int(n), 0, t.decode() if with_text else None, digest))
+                    continue
+                w, gone = t.split(), 0
                 n = len(w)
                 if starts is not None:
                     cover = _covered(np.asarray(starts), n, length)
@@ -207,7 +219,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, text: str = "text", doc_id
                 out.append((i, n, gone, kept.decode() if with_text else None, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    out = (_with_lists(held.select(*KEY, "text"), hits).select("doc_id", "text", "hits")
-           .mapInPandas(clean, "doc_id string, n_words long, n_removed long, kept string, kept_sha256 string"))
-    out = out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    out = (_with_lists(held.select(*KEY, "text", "n", "digest"), hits).select("doc_id", "text", "n", "digest", "hits")
+           .mapInPandas(clean, "doc_id string, n_words long, n_removed long, kept string, kept_sha256 string")
+           .withColumn("doc_id", F.col("doc_id").cast(kind)))
     return out if with_text else out.drop("kept")
