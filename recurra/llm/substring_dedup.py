@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from recurra.llm.common import cut, discard
 
 RIGHT, LEFT = 0, 1
+ROWS = 100_000     # anchors written at once
 _SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))   # odd multipliers of the two hashes
 
 
@@ -139,12 +140,22 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            ids, found = [], []
             for i, k, t in zip(b["doc_id"], b["text_hash"], b["text"]):
                 w = (t or b"").split()
                 if len(w) >= length:
                     at, side, short, double = levels.rows(w)
-                    yield pd.DataFrame({"doc_id": [i] * len(at), "text_hash": k,
-                                        "anchor": (at * 2 + side).astype(np.int32), "short": short, "double": double})
+                    ids += [i] * len(at)
+                    found.append((np.full(len(at), k), (at * 2 + side).astype(np.int32), short, double))
+                if len(ids) >= ROWS:
+                    yield frame(ids, found)
+                    ids, found = [], []
+            if ids:
+                yield frame(ids, found)
+
+    def frame(ids: list, found: list) -> pd.DataFrame:
+        columns = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"doc_id": ids, **dict(zip(("text_hash", "anchor", "short", "double"), columns))})
 
     rows = cut(docs.mapInPandas(emit, "doc_id string, text_hash long, anchor int, short long, double long"), "anchors")
     found, often = _repeated(rows, ["short"], "short-repeats")
