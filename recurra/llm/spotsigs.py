@@ -43,12 +43,16 @@ CHAIN = 2
 
 _S = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ")"
 _SIGNATURE = f" (?=({_S} " + f"(?:{_S} )*+[^ ]+ " * CHAIN + "))"
-_INNER = f"(?<= )(?:{_S} )+"
+# possessive: a greedy loop over alternatives recurses once for each word of a run
+_INNER = f"(?<= )(?:{_S} )++"
+_RUN = f"(?<= )({_S} )\\1++"
 
 
 def signatures(text: Column) -> Column:
     """The sorted distinct signature hashes of a text."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
+    # an anchor that follows itself adds no signature; long runs of one word would make chains as long
+    plain = F.regexp_replace(plain, _RUN, "$1")
     chains = F.regexp_extract_all(plain, F.lit(_SIGNATURE), F.lit(1))
     spots = F.transform(chains, lambda s: F.xxhash64(F.regexp_replace(s, _INNER, "")))
     bag = F.transform(F.filter(F.split(plain, " +"), lambda w: w != ""), lambda w: F.xxhash64(w))
