@@ -184,7 +184,7 @@ def shard_documents(docs: DataFrame, shards: int, text: str = "text", doc_id: st
 
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str, text: str = "text", doc_id: str = "doc_id") -> None:
-    """Write the documents, all columns, into one folder per shard, each as several slot-ordered files."""
+    """Write the documents, each whole as a struct ``document``, into one folder per shard, in slot order."""
     slots = len(slot_map.shard)
     table = slot_map.frame(docs.sparkSession).select("virtual_slot", "shard")
     slot = F.pmod(F.xxhash64(F.col(doc_id), checksum(F.col(text))), F.lit(slots)).cast("int")
