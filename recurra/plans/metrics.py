@@ -156,12 +156,13 @@ def nrr_monthly(subs: DataFrame, changes: DataFrame, latest_only: bool = False)
 
     nrr = (mrr_end + churned - expansion) / previous present month's mrr_end
     (the view's code, not its header comment; LAG skips missing months).
+    Like the waterfall and the failure rate, sorted by month (L1).
     """
     m = _monthly(_subs(subs, latest_only), changes, False, ("c",))
     prev = F.lag("mrr_end").over(Window.orderBy("mois"))
     return m.select(
         "mois", "mrr_end", "churned_mrr", "expansion_mrr", "contraction_mrr",
-        safe_divide(F.col("mrr_end") + F.col("churned_mrr") - F.col("expansion_mrr"), prev).alias("nrr"))
+        safe_divide(F.col("mrr_end") + F.col("churned_mrr") - F.col("expansion_mrr"), prev).alias("nrr")).orderBy("mois")
 
 
 def mrr_waterfall(subs: DataFrame, changes: DataFrame, latest_only: bool = False,
@@ -169,7 +170,7 @@ def mrr_waterfall(subs: DataFrame, changes: DataFrame, latest_only: bool = False
     """mois, new_mrr, expansion_mrr, contraction_mrr, churned_mrr, mrr_end, arr_end."""
     m = _monthly(_subs(subs, latest_only), changes, True, create_ops)
     return m.select("mois", "new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "mrr_end",
-                    (F.col("mrr_end") * 12).cast(SUM_TYPE).alias("arr_end"))
+                    (F.col("mrr_end") * 12).cast(SUM_TYPE).alias("arr_end")).orderBy("mois")
 
 
 # ------------------------------------------------------------------ A7
@@ -195,4 +196,4 @@ def failed_payment_rate(attempts: DataFrame, success_values: Sequence[str] = LIT
     aggs += [F.count_if(F.col("code_erreur") == code).alias(f"err_{code}") for code in ERROR_CODES]
     aggs += [safe_divide(F.count_if(ok & (F.col("tentative_numero") > 1)), n_failed).alias("recovery_rate"),
              _money_sum(F.when(failed, F.col("montant_cad")).otherwise(F.lit(0))).alias("revenue_at_risk_cad")]
-    return attempts.groupBy(month_start("created_at").alias("mois")).agg(*aggs)
+    return attempts.groupBy(month_start("created_at").alias("mois")).agg(*aggs).orderBy("mois")
