@@ -256,17 +256,18 @@ def q_last_invoices_per_merchant(spark, sf):
 
 
 BILLING_AS_OF = "2000-06-01"
+RETRY_AS_OF = "2024-06-01"       # some of the recorded attempts are past, some are still to come
+CDC_COLUMNS = ("cdc_operation", "cdc_timestamp", "cdc_ts_ms")
 
 
-def _current_subs(spark, sf):
-    """Current subscription table: the latest version of each from the log."""
-    return latest_version(fx.subscriptions_stream(spark, sf), "subscription_id",
-                          reconcile.TIE_BREAK_ORDER).drop("cdc_operation", "cdc_timestamp", "cdc_ts_ms")
+def _current_subs(spark, sf, as_of=BILLING_AS_OF):
+    """Subscription table as of a day: the latest version of each written by then."""
+    known = billing.known_at(fx.subscriptions_stream(spark, sf), as_of)
+    return latest_version(known, "subscription_id", reconcile.TIE_BREAK_ORDER).drop(*CDC_COLUMNS)
 
 
-def _current_invoices(spark, sf):
-    return serving.current_invoices(fx.invoices_stream(spark, sf)).drop("cdc_operation", "cdc_timestamp",
-                                                                        "cdc_ts_ms")
+def _current_invoices(spark, sf, as_of):
+    return serving.current_invoices(billing.known_at(fx.invoices_stream(spark, sf), as_of)).drop(*CDC_COLUMNS)
 
 
 @register("billing_due")
@@ -279,14 +280,19 @@ def q_billing_run(spark, sf):
     return billing.billing_run(_current_subs(spark, sf), BILLING_AS_OF).invoices
 
 
+@register("billing_run_subscriptions")
+def q_billing_run_subscriptions(spark, sf):
+    return billing.billing_run(_current_subs(spark, sf), BILLING_AS_OF).subscriptions
+
+
 @register("retry_candidates")
 def q_retry_candidates(spark, sf):
-    return billing.retry_candidates(_current_invoices(spark, sf), BILLING_AS_OF)
+    return billing.retry_candidates(_current_invoices(spark, sf, RETRY_AS_OF), RETRY_AS_OF)
 
 
 def _retries(spark, sf):
-    return billing.apply_retries(_current_invoices(spark, sf), fx.payment_attempts_stream(spark, sf),
-                                 _current_subs(spark, sf), fx.merchants(spark, sf), BILLING_AS_OF)
+    return billing.apply_retries(_current_invoices(spark, sf, RETRY_AS_OF), fx.payment_attempts_stream(spark, sf),
+                                 _current_subs(spark, sf, RETRY_AS_OF), fx.merchants(spark, sf), RETRY_AS_OF)
 
 
 @register("retry_apply_invoices")
@@ -314,16 +320,19 @@ def q_scheduled_cancellation(spark, sf):
     return billing.cancel_scheduled(_current_subs(spark, sf), BILLING_AS_OF)
 
 
+def _plan_changes(spark, sf):
+    return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
+                                      billing.known_at(fx.plan_changes_stream(spark, sf), BILLING_AS_OF))
+
+
 @register("plan_change_apply")
 def q_plan_change_apply(spark, sf):
-    return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
-                                      fx.plan_changes_stream(spark, sf)).subscriptions
+    return _plan_changes(spark, sf).subscriptions
 
 
 @register("plan_change_apply_merchants")
 def q_plan_change_apply_merchants(spark, sf):
-    return billing.apply_plan_changes(_current_subs(spark, sf), fx.merchants(spark, sf),
-                                      fx.plan_changes_stream(spark, sf)).merchants
+    return _plan_changes(spark, sf).merchants
 
 
 # ---------------------------------------------------------------- de-duplicated variants (one row per subscription)
@@ -378,6 +387,24 @@ def q_mrr_current_streamed(spark, sf):
     return _streamed(spark, sf).view(spark, "mrr_current")
 
 
+@register("churn_monthly_streamed")
+def q_churn_monthly_streamed(spark, sf):
+    return _streamed(spark, sf).view(spark, "churn_monthly")
+
+
+@register("subscriptions_stream_streamed")
+def q_subscriptions_stream_streamed(spark, sf):
+    """The event log that the streaming job wrote, whole."""
+    return _streamed(spark, sf).log(spark, "subscriptions_stream").drop("cdc_timestamp", "batch_id")
+
+
+@register("merchant_invoices")
+def q_merchant_invoices(spark, sf):
+    """L2 for one merchant; the limit of 12 is the report."""
+    return serving.merchant_invoices(serving.current_invoices(fx.invoices_stream(spark, sf)).drop(*CDC_COLUMNS),
+                                     LOOKUP_MERCHANT)
+
+
 @register("churn_monthly_latest")
 def q_churn_monthly_latest(spark, sf):
     return metrics.churn_monthly(fx.subscriptions_stream(spark, sf), latest_only=True)

@@ -44,7 +44,12 @@ def run_reconciliation(spark: SparkSession, stream_path: str, batch_path: str, l
                        as_of: str | None = None) -> str | None:
     """Writes the log row and returns the alert text (None when batch MRR is 0)."""
     as_of = as_of or _yesterday_utc()
-    status = reconcile.reconciliation_status(spark.read.parquet(stream_path), spark.read.parquet(batch_path), as_of)
+    # a folder that the streaming job compacts holds the newest batches only: read it as the job does
+    inside = "/logs/subscriptions_stream"
+    root = stream_path.rstrip("/").removesuffix(inside)
+    of_job = root != stream_path.rstrip("/") or _is_job(spark, root)
+    streamed = read_log(spark, root, "subscriptions_stream") if of_job else spark.read.parquet(stream_path)
+    status = reconcile.reconciliation_status(streamed, spark.read.parquet(batch_path), as_of)
     row = reconcile.log_row(status).cache()
     try:
         sinks.append(row, log_path)
@@ -58,20 +63,24 @@ def read_log(spark: SparkSession, root: str, table: str):
     """An event log: through the streaming job's reader (compacted months +
     fresh batches) when ``root`` is a ``CdcJob`` output, else a plain table
     ``<root>/<table>``."""
-    job = CdcJob(root)
-    jvm = spark._jvm
-    logs_dir = jvm.org.apache.hadoop.fs.Path(job.path("logs"))
-    if logs_dir.getFileSystem(spark._jsc.hadoopConfiguration()).exists(logs_dir):
-        return job.log(spark, table)
+    if _is_job(spark, root):
+        return CdcJob(root).log(spark, table)
     return spark.read.parquet(f"{root}/{table}")
 
 
+def _is_job(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is the output folder of a ``CdcJob``."""
+    logs_dir = spark._jvm.org.apache.hadoop.fs.Path(CdcJob(root).path("logs"))
+    return logs_dir.getFileSystem(spark._jsc.hadoopConfiguration()).exists(logs_dir)
+
+
 def run_billing(spark: SparkSession, logs: str, merchants_path: str, out: str, as_of: str) -> None:
-    subs = latest_version(read_log(spark, logs, "subscriptions_stream"), "subscription_id",
-                          reconcile.TIE_BREAK_ORDER)
-    invoices = serving.current_invoices(read_log(spark, logs, "invoices_stream"))
-    attempts = read_log(spark, logs, "payment_attempts_stream")
-    changes = read_log(spark, logs, "plan_changes_stream")
+    def known(table: str):
+        return billing.known_at(read_log(spark, logs, table), as_of)
+    subs = latest_version(known("subscriptions_stream"), "subscription_id", reconcile.TIE_BREAK_ORDER)
+    invoices = serving.current_invoices(known("invoices_stream"))
+    attempts = read_log(spark, logs, "payment_attempts_stream")     # bounded by the rule that reads it
+    changes = known("plan_changes_stream")
     merchants = spark.read.parquet(merchants_path)
     run = billing.billing_run(subs, as_of)
     retries = billing.apply_retries(invoices, attempts, subs, merchants, as_of)
@@ -123,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--sep", default=",")
     s.add_argument("--null-value", default=None)
     r = sub.add_parser("reconcile")
-    r.add_argument("--stream", required=True)
+    r.add_argument("--stream", required=True, help="output folder of the streaming job, or a log table")
     r.add_argument("--batch", required=True)
     r.add_argument("--log", required=True)
     r.add_argument("--date", default=None, help="day to reconcile (default: yesterday, UTC)")

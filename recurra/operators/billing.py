@@ -30,6 +30,12 @@ def _now(as_of) -> tuple[Column, Column]:
     return F.lit(as_of).cast("timestamp_ntz"), F.lit(as_of.date())
 
 
+def known_at(log: DataFrame, as_of, column: str = "updated_at") -> DataFrame:
+    """The rows of a log written by ``as_of``: a rule knows nothing later. Take
+    the current version of each key from these."""
+    return log.filter(F.col(column) <= _now(as_of)[0])
+
+
 def _cols(table: str) -> list[str]:
     return [f.name for f in schemas.TABLES[table][0].fields]
 
@@ -95,12 +101,13 @@ def apply_retries(invoices: DataFrame, attempts: DataFrame, subs: DataFrame, mer
     """Apply recorded retry outcomes to the dunning candidates.
 
     The outcome of retry n of an invoice is its attempt numbered n (latest
-    one if recorded twice). Success: invoice paid. Failure: attempt count
-    +1; at the 3rd failure the merchant and its active subscriptions churn.
+    one if recorded twice), made by ``as_of``. Success: invoice paid. Failure:
+    attempt count +1; at the 3rd failure the merchant and its active
+    subscriptions churn.
     """
     now, _ = _now(as_of)
     cand = retry_candidates(invoices, as_of).withColumn("_n", F.col("tentatives_paiement") + 1)
-    outcome = (attempts.groupBy("invoice_id", F.col("tentative_numero").alias("_n"))
+    outcome = (known_at(attempts, as_of, "created_at").groupBy("invoice_id", F.col("tentative_numero").alias("_n"))
                .agg(F.max_by("statut", F.struct("created_at", "attempt_id")).alias("_outcome")))
     tried = cand.join(outcome, ["invoice_id", "_n"], "inner")
     ok = F.col("_outcome") == "succeeded"
