@@ -382,6 +382,12 @@ def q_merchant_state_streamed(spark, sf):
     return _streamed(spark, sf).merchant_state(spark)
 
 
+@register("merchant_lookup_stored")
+def q_merchant_lookup_stored(spark, sf):
+    """A10 on the state that the streaming job stores: one bucket is read."""
+    return _streamed(spark, sf).merchant(spark, LOOKUP_MERCHANT)
+
+
 @register("mrr_current_streamed")
 def q_mrr_current_streamed(spark, sf):
     return _streamed(spark, sf).view(spark, "mrr_current")

@@ -7,7 +7,8 @@ once (persisted) and fanned out to
     overwrite, so a replayed batch rewrites exactly its own rows (K1, T4);
   * the merchant state ``<out>/state`` (K2), a per-merchant mergeable record
     bucketed by ``pmod(xxhash64(merchant_id), buckets)``; only buckets touched
-    by the batch are read, merged and rewritten;
+    by the batch are read, merged and written anew, as a version that a
+    pointer then names (``streaming.versioned``);
   * per-batch partial aggregates of the materialized views (K6), whose
     re-aggregation equals the direct aggregate over the log.
 
@@ -35,6 +36,7 @@ from recurra.operators import state as st
 from recurra.functions.calendar import month_start
 from recurra.plans import metrics
 from recurra.session import checkpoint_root
+from recurra.streaming.versioned import VersionedTable
 
 STATE_BUCKETS = 64
 
@@ -136,26 +138,29 @@ class CdcJob:
             for c in cached:
                 c.unpersist()
 
+    def _state(self, spark: SparkSession) -> VersionedTable:
+        state = VersionedTable(spark, self.path("state"), self.path("pointers", "state"), "bucket")
+        stored = state.pointer().mark
+        if stored not in (None, self.buckets):
+            raise ValueError(f"{self.path('state')} has {stored} buckets, not {self.buckets}")
+        return state
+
+    def _compacted(self, spark: SparkSession, table: str) -> VersionedTable:
+        return VersionedTable(spark, self.path("compacted", table), self.path("pointers", table), "mois")
+
     def _merge_state(self, spark: SparkSession, events: DataFrame) -> None:
         new = state_partials(events, self.buckets).persist()
         try:
             touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets ints
             if not touched:
                 return
-            path = self.path("state")
-            parts = [new]
-            if _exists(spark, path):
-                old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-                parts.append(old.select(*new.columns))
-            # cut the lineage to the files about to be replaced: the merged
-            # buckets are written to a staging table in the job's shared
-            # folder (overwritten by every batch, so it does not grow), then
-            # swapped into the state bucket by bucket. A crash in between is
-            # repaired by the replay: the merge is idempotent.
-            staging = self.path("state_staging")
-            merge_partials(_union(parts)).write.mode("overwrite").parquet(staging)
-            (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("bucket").parquet(path))
+            state = self._state(spark)
+            old = state.read([f"bucket={b}" for b in touched])
+            parts = [new] if old is None else [new, old.select(*new.columns)]
+            # merged buckets are a new version, and the old one stays until a
+            # pointer names the new: a crash in between is repaired by the
+            # replay, as the merge is idempotent
+            state.replace(merge_partials(_union(parts)).hint("rebalance", "bucket"), self.buckets)
         finally:
             new.unpersist()
 
@@ -180,45 +185,32 @@ class CdcJob:
         return spark.read.schema(self._log_schema(table)).parquet(self.path("logs", table))
 
     def _compacted_through(self, spark: SparkSession, table: str) -> int:
-        p = self.path("compaction", table)
-        if not _exists(spark, p):
-            return -1
-        return int(spark.read.parquet(p).first().compacted_through)      # one-row table
+        mark = self._compacted(spark, table).pointer().mark
+        return -1 if mark is None else mark
 
     def compact(self, spark: SparkSession, table: str, through_batch: int) -> None:
         """Rewrite the closed micro-batches (``batch_id <= through_batch``) of a
         log into month partitions, then drop their per-batch directories.
 
-        Idempotent and crash-safe: compacted rows keep their ``batch_id`` and
-        a month is rebuilt from (compacted rows up to the previous watermark)
-        + (batches after it), so a rerun after a crash gives the same rows;
-        the watermark is written before any batch directory is removed, and
-        readers only take batches above it from the per-batch log.
+        Idempotent and crash-safe: a month is rebuilt from its compacted rows
+        and the newer batches, as a new version. Months and watermark change
+        together, with the pointer that names the versions, before any batch
+        directory is removed; readers only take batches above the watermark
+        from the per-batch log. Rows without a time are a month of their own.
         """
         done = self._compacted_through(spark, table)
         if through_batch <= done:
+            _remove_batches(spark, self.path("logs", table), done)     # left by a crash
             return
         ts = "created_at" if table == "payment_attempts_stream" else "updated_at"
         fresh = (self._read_log(spark, table)
                  .filter((F.col("batch_id") > done) & (F.col("batch_id") <= through_batch))
                  .withColumn("mois", month_start(ts)))
         months = [r.mois for r in fresh.select("mois").distinct().collect()]   # calendar-bounded
-        comp = self.path("compacted", table)
-        parts = [fresh]
-        if _exists(spark, comp) and months:
-            old = spark.read.parquet(comp)
-            # null times are a partition of their own
-            touched = F.col("mois").isin([m for m in months if m is not None])
-            if None in months:
-                touched = F.coalesce(touched, F.lit(False)) | F.col("mois").isNull()
-            parts.append(old.filter(touched & (F.col("batch_id") <= done))
-                         .select(*fresh.columns))
-        staging = self.path("compaction_staging", table)
-        _union(parts).write.mode("overwrite").parquet(staging)
-        (spark.read.parquet(staging).hint("rebalance", "mois").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("mois").parquet(comp))
-        spark.createDataFrame([(through_batch,)], "compacted_through bigint") \
-            .write.mode("overwrite").parquet(self.path("compaction", table))
+        comp = self._compacted(spark, table)
+        old = comp.read([f"mois={'__HIVE_DEFAULT_PARTITION__' if m is None else m}" for m in months])
+        parts = [fresh] if old is None else [fresh, old.withColumn("mois", F.col("mois").cast("date")).select(*fresh.columns)]
+        comp.replace(_union(parts).hint("rebalance", "mois"), through_batch)
         _remove_batches(spark, self.path("logs", table), through_batch)
 
     # ---------------------------------------------------------------- readers
@@ -227,13 +219,22 @@ class CdcJob:
         """The event log: compacted months plus the batches written since."""
         done = self._compacted_through(spark, table)
         fresh = self._read_log(spark, table).filter(F.col("batch_id") > done)
-        if done < 0:
-            return fresh
-        compacted = spark.read.parquet(self.path("compacted", table)).drop("mois")
-        return fresh.unionByName(compacted.select(*fresh.columns))
+        compacted = self._compacted(spark, table).read()
+        return fresh if compacted is None else fresh.unionByName(compacted.select(*fresh.columns))
 
     def merchant_state(self, spark: SparkSession) -> DataFrame:
-        return state_view(spark.read.parquet(self.path("state")))
+        records = self._state(spark).read()
+        if records is None:
+            return spark.createDataFrame([], schemas.MERCHANT_STATE)
+        return state_view(records)
+
+    def merchant(self, spark: SparkSession, merchant_id: str) -> DataFrame:
+        """A10: the stored row of one merchant, read from its bucket alone; empty when unknown."""
+        bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(merchant_id)), F.lit(self.buckets))).first()[0]
+        records = self._state(spark).read([f"bucket={bucket}"])
+        if records is None:
+            return spark.createDataFrame([], schemas.MERCHANT_STATE)
+        return state_view(records.filter(F.col("merchant_id") == merchant_id))
 
     def view(self, spark: SparkSession, name: str) -> DataFrame:
         """K6: the materialized view as the re-aggregation of its partials."""
@@ -262,10 +263,3 @@ def _remove_batches(spark: SparkSession, path: str, through_batch: int) -> None:
         name = st_.getPath().getName()
         if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= through_batch:
             fs.delete(st_.getPath(), True)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
