@@ -4,7 +4,9 @@ snapshot   typed load of the delimited dump into ``<out>/<table>_batch`` (S2-S4,
 reconcile  streaming vs batch MRR for a day, appended to the reconciliation log (R1-R3, K4)
 stream     the CDC streaming job over a directory of topic files (K1, K2, K6)
 billing    the billing transitions for a day, written as change sets (B1-B6)
-views      register the metric views over the event logs as SQL temp views (K5)
+compact    rewrite closed batches of the streaming job's logs into months
+
+``register_metric_views`` registers the metric views in a session (K5).
 
 Paths are plain Hadoop paths (shared storage on a cluster). Nothing is
 collected to the driver except the one-row reconciliation status.
@@ -19,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from recurra import schemas
 from recurra.operators import billing
 from recurra.operators.latest import latest_version
 from recurra.plans import metrics, reconcile, serving
@@ -98,6 +101,11 @@ def run_billing(spark: SparkSession, logs: str, merchants_path: str, out: str, a
             .option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(f"{out}/{name}")
 
 
+def run_compaction(spark: SparkSession, root: str, through_batch: int) -> None:
+    for table in schemas.LOG_TABLES.values():
+        CdcJob(root).compact(spark, table, through_batch)
+
+
 def register_metric_views(spark: SparkSession, logs: str) -> None:
     subs = read_log(spark, logs, "subscriptions_stream")
     changes = read_log(spark, logs, "plan_changes_stream")
@@ -150,6 +158,9 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--merchants", required=True)
     b.add_argument("--output", required=True)
     b.add_argument("--date", required=True)
+    c = sub.add_parser("compact")
+    c.add_argument("--output", required=True, help="output folder of the streaming job")
+    c.add_argument("--through-batch", type=int, required=True, help="last closed batch")
     args = p.parse_args(argv)
 
     spark = apply_cluster_defaults(SparkSession.builder.appName(f"recurra-{args.job}").getOrCreate())
@@ -162,6 +173,8 @@ def main(argv: list[str] | None = None) -> None:
         CdcJob(args.output).start(_stream_source(spark, args), args.checkpoint, trig).awaitTermination()
     elif args.job == "billing":
         run_billing(spark, args.logs, args.merchants, args.output, args.date)
+    elif args.job == "compact":
+        run_compaction(spark, args.output, args.through_batch)
 
 
 if __name__ == "__main__":
