@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import cut
+from recurra.llm.common import cut, let
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -41,7 +41,18 @@ ANCHORS = (
 ).split()
 CHAIN = 2
 
-_S = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ")"
+
+def _any_of(words: list[str]) -> str:
+    """A pattern of these words that shares their beginnings, so that few letters are tried at any place."""
+    tails: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        if w:
+            tails.setdefault(w[0], []).append(w[1:])
+    body = "(?:" + "|".join(a + _any_of(t) if any(t) else a for a, t in tails.items()) + ")"
+    return body + "?" if "" in words else body
+
+
+_S = _any_of(ANCHORS)
 _SIGNATURE = f" (?=({_S} " + f"(?:{_S} )*+[^ ]+ " * CHAIN + "))"
 # possessive: a greedy loop over alternatives recurses once for each word of a run
 _INNER = f"(?<= )(?:{_S} )++"
@@ -53,10 +64,14 @@ def signatures(text: Column) -> Column:
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
     # an anchor that follows itself adds no signature; long runs of one word would make chains as long
     plain = F.regexp_replace(plain, _RUN, "$1")
-    chains = F.regexp_extract_all(plain, F.lit(_SIGNATURE), F.lit(1))
-    spots = F.transform(chains, lambda s: F.xxhash64(F.regexp_replace(s, _INNER, "")))
-    bag = F.transform(F.filter(F.split(plain, " +"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.array_sort(F.array_distinct(F.when(F.size(chains) > 0, spots).otherwise(bag)))
+
+    def hashes(p: Column, chains: Column) -> Column:
+        spots = F.transform(chains, lambda s: F.xxhash64(F.regexp_replace(s, _INNER, "")))
+        bag = F.transform(F.filter(F.split(p, " +"), lambda w: w != ""), lambda w: F.xxhash64(w))
+        return F.when(F.size(chains) > 0, spots).otherwise(bag)
+
+    found = let(plain, lambda p: let(F.regexp_extract_all(p, F.lit(_SIGNATURE), F.lit(1)), lambda c: hashes(p, c)))
+    return F.array_sort(F.array_distinct(found))
 
 
 def fingerprint(sigs: Column) -> Column:
