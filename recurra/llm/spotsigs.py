@@ -114,34 +114,36 @@ def following(docs: DataFrame) -> DataFrame:
             .select("doc_id", "text_hash", "n_chars", found["doc_id"].alias("next_id"), found["text_hash"].alias("next_hash")))
 
 
-def _same(a: DataFrame, i: str, h: str, b: DataFrame, j: str, g: str) -> Column:
-    return a[i].eqNullSafe(b[j]) & (a[h] == b[g])
-
-
 def compare_edits(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Fingerprint every document, its edited text and the next document, and compare them.
 
     The edited text replaces the last third of the code points by as many from
     the beginning of the next document. One row per document: doc_id, n_chars,
-    edited, sigs, edited_sigs, next_sigs. Texts and signature sets are shuffled
-    by document once; a third of that again brings each document the beginning
-    of its successor.
+    edited, sigs, edited_sigs, next_sigs. Texts are shuffled by document once,
+    for both joins; a third of them, with the successor's signatures, goes on to
+    the document before. Signatures are found after the first shuffle, which
+    they would make half as large again.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    held = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), t.alias("text"),
-                       signatures(t).alias("sigs"))
+    key = F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"))     # structs compare null-safe
+    texts = docs.select(key.alias("key"), t.alias("text"))
     ids = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash"), F.length(t).cast("long").alias("n_chars"))
+    # hashes are never null; said so, keys of both sides have one type, and both joins read one exchange of the texts
+    sure = lambda h: F.coalesce(h, F.lit(0).cast("long")).alias("text_hash")
     asked = cut(following(ids), "following").select(
-        F.col("doc_id").alias("for_id"), F.col("text_hash").alias("for_hash"), "next_id", "next_hash",
+        F.struct("doc_id", sure("text_hash")).alias("for_key"),
+        F.struct(F.col("next_id").alias("doc_id"), sure("next_hash")).alias("next_key"),
         F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
-    begun = (held.join(asked, _same(held, "doc_id", "text_hash", asked, "next_id", "next_hash"))
-             .groupBy("for_id", "for_hash")
-             .agg(F.first(F.struct(F.expr("substring(text, 1, take)").alias("begin"), F.col("sigs").alias("next_sigs"))).alias("n")))
+    # a document follows one other: its repeated rows are one row, found where the join has put them
+    begun = (texts.join(asked, texts["key"] == asked["next_key"])
+             .groupBy("next_key").agg(F.first(F.struct("for_key", "text", "take")).alias("n"))
+             .select(F.col("n.for_key").alias("for_key"), F.expr("substring(n.text, 1, n.take)").alias("begin"),
+                     signatures(F.col("n.text")).alias("next_sigs")))
     n = F.length("text")
-    return (held.join(begun, _same(held, "doc_id", "text_hash", begun, "for_id", "for_hash"), "left")
-            .select("doc_id", n.cast("long").alias("n_chars"), "sigs", F.col("n.next_sigs").alias("next_sigs"),
-                    F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")),
-                             F.col("n.begin")).alias("edited"))
+    return (texts.join(begun, texts["key"] == begun["for_key"], "left")
+            .select(F.col("key.doc_id").alias("doc_id"), n.cast("long").alias("n_chars"), signatures(F.col("text")).alias("sigs"),
+                    "next_sigs", F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")),
+                                          F.col("begin")).alias("edited"))
             .withColumn("edited_sigs", signatures(F.col("edited"))))
 
 
