@@ -28,6 +28,10 @@ from recurra import schemas
 # over the merchant row written at the same time.
 SOURCE_RANK = {"merchants": 0, "subscriptions": 1, "payment_attempts": 2}
 
+# Parts into which a merchant's failed attempts are split; every merchant's reset
+# point is copied as often.
+SALTS = 16
+
 
 def _pos(df: DataFrame) -> Column:
     return F.col("cdc_ts_ms") if "cdc_ts_ms" in df.columns else F.lit(None).cast("bigint")
@@ -96,23 +100,28 @@ def merchant_fields(events: DataFrame) -> DataFrame:
         F.max("ts").alias("updated_at"))
 
 
-def consecutive_failures(attempts: DataFrame) -> DataFrame:
+def consecutive_failures(attempts: DataFrame, salts: int = SALTS) -> DataFrame:
     """M4: merchant_id, nb_echecs_paiement_consecutifs for every merchant with
     attempts: failed attempts strictly after the latest non-failed one in
     (created_at, attempt_id) order, counted once per attempt_id.
 
-    Two aggregates and a join keyed by merchant: the reset point combines
-    map-side; the failed attempts (the large side) are on the left of the join
-    so a hot merchant's partition can be split by AQE.
+    The reset point is an aggregate with map-side partials. The failed attempts
+    meet it on (merchant, salt of the attempt), so a hot merchant's rows go to
+    ``salts`` tasks; copies of an attempt share a salt, so the distinct counts
+    of the salts add up.
     """
     key = F.struct("created_at", "attempt_id")
     not_failed = ~F.col("statut").eqNullSafe("failed")
     valid = attempts.filter(F.col("merchant_id").isNotNull() & (F.col("merchant_id") != ""))
     reset = valid.groupBy("merchant_id").agg(F.max(F.when(not_failed, key)).alias("reset"))
-    failed = valid.filter(F.col("statut") == "failed").select("merchant_id", key.alias("k"), "attempt_id")
-    after = (failed.join(reset, "merchant_id", "left")
+    resets = reset.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    failed = valid.filter(F.col("statut") == "failed").select(
+        "merchant_id", key.alias("k"), "attempt_id",
+        F.pmod(F.xxhash64("attempt_id"), F.lit(salts)).cast("int").alias("salt"))
+    after = (failed.join(resets, ["merchant_id", "salt"])
              .filter(F.col("reset").isNull() | (F.col("k") > F.col("reset")))
-             .groupBy("merchant_id").agg(F.count_distinct("attempt_id").alias("n")))
+             .groupBy("merchant_id", "salt").agg(F.count_distinct("attempt_id").alias("n"))
+             .groupBy("merchant_id").agg(F.sum("n").alias("n")))
     return (reset.select("merchant_id").join(after, "merchant_id", "left")
             .select("merchant_id", F.coalesce("n", F.lit(0)).cast("bigint")
                     .alias("nb_echecs_paiement_consecutifs")))
