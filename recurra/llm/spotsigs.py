@@ -18,7 +18,8 @@ Everything runs on built-in column functions: signatures come from one pattern
 with a lookahead, so that chains may overlap.
 
 Rows: a null text is an empty one. Repeated rows count as one document in the
-order of documents and get equal results. Null ids come last in that order. An
+order of documents and get equal results; ``compare_edits`` reads equal rows in
+one task, which drops all but one. Null ids come last in that order. An
 empty table gives an empty result; a single document follows itself. Other
 columns are not read.
 """
