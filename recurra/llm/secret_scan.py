@@ -3,8 +3,10 @@
 Base spans follow three fixed patterns (``KINDS``). The method adds spans of
 kind ``markov``: a token of ``TOKEN_CHARS`` or more token characters is split
 from its text, and two character models of first order score it, one of random
-strings and one of ordinary identifiers. The mean log-likelihood ratio of its
-character pairs must exceed ``threshold``.
+strings and one of ordinary identifiers. The token is a span if the mean
+log-likelihood ratio of its character pairs exceeds ``threshold``. If it does
+not, its runs of ``TOKEN_CHARS`` or more characters whose mean does are spans,
+so that a random string joined to a key or a path is found (``Models.runs``).
 
 Both models are trained from labelled samples of the corpus itself, over all
 documents: the values of base spans are labelled random, and the long tokens
@@ -47,6 +49,7 @@ PAIRS = len(ALPHABET) ** 2
 THRESHOLD = 0.8      # nats a character pair
 SMOOTHING = 0.5
 BACKOFF = 20.0       # pairs that a character's successors borrow from the frequencies of single characters
+DROP = 16.0          # nats that a run may fall below its best end before it is closed
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -114,6 +117,35 @@ def pair_counts(scanned: DataFrame) -> DataFrame:
             .groupBy("label", "pair").agg(F.count("*").alias("n")))
 
 
+def _to_blocks(token: Column, run: Column) -> Column:
+    """The run, moved to the ends of the blocks of letters and digits it begins and ends in.
+
+    The ends of a random string may score low, so a block is taken whole; but one
+    of which the run has less than half, past a separator, is left.
+    """
+    inside = F.substring(token, run["start"] + 1, run["end"] - run["start"])
+    left = F.length(F.regexp_extract(F.substring(token, F.lit(1), run["start"]), "[0-9A-Za-z]*$", 0))
+    right = F.length(F.regexp_extract(F.substring(token, run["end"] + 1, F.length(token)), "^[0-9A-Za-z]*", 0))
+    head, head_cut = (F.length(F.regexp_extract(inside, "^([0-9A-Za-z]*)[+/_=-]+", k)) for k in (1, 0))
+    tail, tail_cut = (F.length(F.regexp_extract(inside, "[+/_=-]+([0-9A-Za-z]*)$", k)) for k in (1, 0))
+    start = run["start"] + F.when((head_cut > 0) & (head < left), head_cut).otherwise(-left)
+    end = run["end"] + F.when((tail_cut > 0) & (tail < right), -tail_cut).otherwise(right)
+    return let(F.struct(start.alias("start"), end.alias("end")), lambda b: F.when(b["start"] < b["end"], b).otherwise(
+        F.struct((run["start"] - left).alias("start"), (run["end"] + right).alias("end"))))
+
+
+def _merged(spans: Column) -> Column:
+    """Spans in order, with those that overlap made one."""
+    def add(acc: Column, s: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        joined = F.struct(F.least(last["start"], s["start"]).alias("start"), s["kind"].alias("kind"),
+                          F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(acc) > 0) & (s["start"] < last["end"]),
+                      F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPAN), add)
+
+
 class Models:
     """The log-likelihood ratio of every character pair, random against ordinary."""
 
@@ -132,12 +164,87 @@ class Models:
     def train(scanned: DataFrame, smoothing: float = SMOOTHING) -> "Models":
         return Models({(r["label"], r["pair"]): r["n"] for r in pair_counts(scanned).collect()}, smoothing)
 
+    def _ratios(self, token: Column) -> Column:
+        table = F.split(F.lit(",".join(f"{x:.6f}" for x in self.ratio)), ",").cast("array<double>")
+        return F.transform(_pairs(token), lambda p: F.get(table, p))
+
     def score(self, token: Column) -> Column:
         """Mean log-likelihood ratio of a token's character pairs; 0 without a pair."""
-        table = F.split(F.lit(",".join(f"{x:.6f}" for x in self.ratio)), ",").cast("array<double>")
-        total = F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, p))
+        total = F.aggregate(self._ratios(token), F.lit(0.0), lambda a, x: a + x)
         return F.when(F.length(token) > 1, total / (F.length(token) - 1)).otherwise(F.lit(0.0))
 
+    def runs(self, token: Column, threshold: float) -> Column:
+        """(start, end) of the runs of ``TOKEN_CHARS`` or more characters whose mean ratio exceeds ``threshold``.
+
+        One pass over the sums of ratio minus threshold. A run goes from the least
+        sum so far to the greatest rise above it; it is closed when the sum falls
+        ``DROP`` below that end or under its start, and the next one begins after it.
+        The best run after the end of the one still open is kept too: it stands when
+        the open one closes without reaching it.
+        """
+        far, back = F.lit(float("inf")), TOKEN_CHARS - 1
+        nothing = F.struct(far.alias("low"), F.lit(0).alias("at"), F.lit(0.0).alias("best"), F.lit(-1).alias("first"),
+                           F.lit(-1).alias("last"))
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("sum_back"), F.lit(0).alias("floor"),
+                         nothing.alias("open"), nothing.alias("after"),
+                         F.array().cast("array<struct<start:int,end:int>>").alias("runs"))
+
+        def grow(run: Column, s: Column, floor: Column) -> Column:
+            """The run with its least start moved to ``s.back`` if lower, and its end to ``s.here`` if higher."""
+            lower = (s["back"] >= floor) & (s["sum_back"] < run["low"])
+            moved = F.struct(F.when(lower, s["sum_back"]).otherwise(run["low"]).alias("low"),
+                             F.when(lower, s["back"]).otherwise(run["at"]).alias("at"))
+
+            def ended(m: Column) -> Column:
+                rise = s["sum"] - m["low"]
+                more = rise > run["best"]
+                return F.struct(m["low"].alias("low"), m["at"].alias("at"),
+                                F.when(more, rise).otherwise(run["best"]).alias("best"),
+                                F.when(more, m["at"]).otherwise(run["first"]).alias("first"),
+                                F.when(more, s["here"]).otherwise(run["last"]).alias("last"))
+            return let(moved, ended)
+
+        def closed(runs: Column, run: Column) -> Column:
+            return F.when(run["last"] >= 0, F.concat(runs, F.array(F.struct(
+                run["first"].alias("start"), (run["last"] + 1).alias("end"))))).otherwise(runs)
+
+        def step(acc: Column, e: Column) -> Column:
+            s = F.struct((acc["sum"] + e["x"]).alias("sum"), (acc["sum_back"] + F.coalesce(e["old"], F.lit(0.0))).alias("sum_back"),
+                         (e["i"] + 1).alias("here"), (e["i"] + 1 - back).alias("back"))
+
+            def with_sums(s: Column) -> Column:
+                def with_open(run: Column) -> Column:
+                    after = F.when(run["last"] == s["here"], nothing).when(run["last"] >= 0, grow(
+                        acc["after"], s, run["last"])).otherwise(nothing)
+                    falls = (run["last"] >= 0) & (s["sum"] - run["low"] < F.greatest(run["best"] - DROP, F.lit(0.0)))
+                    return let(after, lambda b: F.struct(
+                        s["sum"].alias("sum"), s["sum_back"].alias("sum_back"),
+                        F.when(falls & (b["last"] < 0), s["here"]).otherwise(acc["floor"]).alias("floor"),
+                        F.when(falls, F.when(b["last"] >= 0, b).otherwise(nothing)).otherwise(run).alias("open"),
+                        F.when(falls, nothing).otherwise(b).alias("after"),
+                        F.when(falls, closed(acc["runs"], run)).otherwise(acc["runs"]).alias("runs")))
+                return let(grow(acc["open"], s, acc["floor"]), with_open)
+            return let(s, with_sums)
+
+        excess = F.transform(self._ratios(token), lambda x: x - threshold)
+        steps = let(excess, lambda xs: F.transform(xs, lambda x, i: F.struct(
+            x.alias("x"), F.get(xs, i - back).alias("old"), i.alias("i"))))
+        return F.aggregate(steps, start, step, lambda acc: closed(closed(acc["runs"], acc["open"]), acc["after"]))
+
+    def random_spans(self, text: Column, tokens: Column, threshold: float) -> Column:
+        """Spans of kind markov among the tokens of a text: whole tokens, or runs in their blocks."""
+        def spans(s: Column) -> Column:
+            whole = F.array(F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))
+
+            def inner(piece: Column) -> Column:
+                return F.transform(self.runs(piece, threshold), lambda r: let(_to_blocks(piece, r), lambda b: F.struct(
+                    (s["start"] + b["start"]).alias("start"), F.lit(3).alias("kind"), (s["start"] + b["end"]).alias("end"))))
+
+            return let(_piece(text, s), lambda piece: F.when(self.score(piece) > threshold, whole)
+                       .otherwise(_merged(inner(piece))))
+
+        return F.flatten(F.transform(tokens, spans))
+
 
 def scan(docs: DataFrame, text: str = "text", models: Models | None = None, threshold: float = THRESHOLD,
          keep: list[str] | None = None, column: str = "secret_spans") -> DataFrame:
@@ -154,8 +261,7 @@ def scan(docs: DataFrame, text: str = "text", models: Models | None = None, thre
     row = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c != column]
     held = docs.select(F.struct(*row).alias("row"), t.alias("text"))
     found = held.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", _spans(F.col("text"), TOKEN, 3))
-    added = F.filter("tokens", lambda s: ~_overlaps(F.col("base"), s)
-                     & (models.score(_piece(F.col("text"), s)) > threshold))
+    added = models.random_spans(F.col("text"), F.filter("tokens", lambda s: ~_overlaps(F.col("base"), s)), threshold)
     spans = F.when(F.size("tokens") > 0, F.array_sort(F.concat("base", added))).otherwise(F.col("base"))
     return found.select("row", spans.alias("spans")).select("row.*", F.col("spans").alias(column))
 
