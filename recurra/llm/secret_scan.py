@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and Markov models of random strings and ordinary identifiers.
 
 Base spans follow three fixed patterns (``KINDS``). The method adds spans of
-kind ``markov``: a token of ``TOKEN_CHARS`` or more token characters is split
-from its text, and two character models of first order score it, one of random
+kind ``markov``: a token of ``TOKEN_CHARS`` or more token characters outside
+base spans is split from its text, and two character models of first order score it, one of random
 strings and one of ordinary identifiers. The token is a span if the mean
 log-likelihood ratio of its character pairs exceeds ``threshold``. If it does
 not, its runs of ``TOKEN_CHARS`` or more characters whose mean does are spans,
@@ -81,8 +81,18 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(_spans(t, ASSIGN, 0, 2), _spans(t, ACCESS, 1), _spans(t, HEX, 2)))
 
 
-def _overlaps(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
+def _tokens(text: Column, base: Column) -> Column:
+    """The tokens of a text, cut at the bounds of its base spans: what stands between these is a token of its own."""
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def blank(acc: Column, s: Column) -> Column:
+        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(
+            acc["out"], between, F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["at"]))).alias("out"))
+
+    rest = F.aggregate(base, begin, blank,
+                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return let(F.when(F.size(base) > 0, rest).otherwise(text), lambda bare: _spans(bare, TOKEN, 3))
 
 
 def _piece(text: Column, span: Column) -> Column:
@@ -109,7 +119,7 @@ def pair_counts(scanned: DataFrame) -> DataFrame:
               .select(F.explode(F.transform("base", lambda s: _piece(F.col("text"), s))).alias("piece"))
               .select(F.lit(1).alias("label"), value.alias("token")))
     plain = (scanned.where(F.size("tokens") > 0)
-             .select(F.explode(F.filter("tokens", lambda s: ~_overlaps(F.col("base"), s))).alias("s"), "text")
+             .select(F.explode("tokens").alias("s"), "text")
              .select(F.lit(0).alias("label"), _piece(F.col("text"), F.col("s")).alias("token"))
              .where(~F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")))
     return (secret.unionByName(plain).distinct()
@@ -257,11 +267,12 @@ def scan(docs: DataFrame, text: str = "text", models: Models | None = None, thre
     t = F.coalesce(F.col(text), F.lit(""))
     if models is None:
         models = Models.train(docs.select(t.alias("text")).withColumn("base", base_spans(F.col("text")))
-                              .withColumn("tokens", _spans(F.col("text"), TOKEN, 3)))
+                              .withColumn("tokens", _tokens(F.col("text"), F.col("base"))))
     row = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c != column]
     held = docs.select(F.struct(*row).alias("row"), t.alias("text"))
-    found = held.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", _spans(F.col("text"), TOKEN, 3))
-    added = models.random_spans(F.col("text"), F.filter("tokens", lambda s: ~_overlaps(F.col("base"), s)), threshold)
+    found = held.withColumn("base", base_spans(F.col("text"))) \
+        .withColumn("tokens", _tokens(F.col("text"), F.col("base")))
+    added = models.random_spans(F.col("text"), F.col("tokens"), threshold)
     spans = F.when(F.size("tokens") > 0, F.array_sort(F.concat("base", added))).otherwise(F.col("base"))
     return found.select("row", spans.alias("spans")).select("row.*", F.col("spans").alias(column))
 
