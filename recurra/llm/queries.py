@@ -1,7 +1,8 @@
 """Registered queries of the corpus operators: name -> (spark, sf_dir) -> DataFrame.
 
 Each applies its operator to the whole of its table and returns one row per
-document (``language_id_pages``: per page).
+document (``language_id_pages``: per page; ``op11_collocations``: the best phrases
+of a language; ``op13_whitening``: one per vector and component).
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import (language_id, mixing, quality_rules, rule_ensemble, secret_scan, sentence_pieces, sharding,
-                         simhash, spotsigs, substring_dedup)
+from recurra.llm import (collocations, decontamination, language_id, mixing, quality_rules, rule_ensemble, secret_scan,
+                         sentence_pieces, sharding, simhash, spotsigs, substring_dedup, whitening)
 from recurra.llm.common import documents
 
 SHARDS = 24
@@ -96,6 +97,24 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two and three words of every language."""
+    return collocations.collocations(documents(spark, sf_dir), longest=3, least=10, share=50, best=2000)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows of ten words cover, and the items they are of."""
+    found = decontamination.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 32 whitening components."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_sentence_pieces, op3_sharding, op4_simhash, op5_secret_scan, op6_substring_dedup,
-    op7_spotsigs, op8_quality_rules, op9_mixing, op10_rule_ensemble, language_id_pages)}
+    op7_spotsigs, op8_quality_rules, op9_mixing, op10_rule_ensemble, op11_collocations, op12_decontamination,
+    op13_whitening, language_id_pages)}
