@@ -216,6 +216,28 @@ def q_cdc_topic_route(spark, sf):
             .select("topic", cdc.topic_table(F.col("topic")).alias("source_table"), "n_messages"))
 
 
+def _routed(spark, sf):
+    return cdc.route(cdc.parse_envelope(fx.faulty_messages(spark, sf)))
+
+
+@register("cdc_dead_letter_faulty")
+def q_cdc_dead_letter_faulty(spark, sf):
+    """Every reason for which a message of an erring producer is set aside."""
+    return _routed(spark, sf).dead_letter.groupBy("table", "reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@register("cdc_log_faulty")
+def q_cdc_log_faulty(spark, sf):
+    """The attempts of an erring producer that the event log takes."""
+    return _routed(spark, sf).logs["payment_attempts_stream"].drop("cdc_timestamp")
+
+
+@register("merchant_state_faulty")
+def q_merchant_state_faulty(spark, sf):
+    """The state takes every change that names a merchant, also those that the log refuses."""
+    return st.merchant_state(*[_routed(spark, sf).state[t] for t in cdc.STATE_TABLES])
+
+
 # ---------------------------------------------------------------- merchant state, serving
 
 
@@ -388,6 +410,20 @@ def q_merchant_lookup_stored(spark, sf):
     return _streamed(spark, sf).merchant(spark, LOOKUP_MERCHANT)
 
 
+@register("dead_letter_streamed")
+def q_dead_letter_streamed(spark, sf):
+    """The dead letters that the streaming job wrote."""
+    dead = spark.read.parquet(_streamed(spark, sf).path("dead_letter"))
+    return dead.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+@register("deletes_streamed")
+def q_deletes_streamed(spark, sf):
+    """The deletes that the streaming job wrote."""
+    return spark.read.parquet(_streamed(spark, sf).path("deletes")).select(
+        F.col("table").alias("source_table"), "op", cdc.entity_key(F.col("table"), F.col("before")).alias("entity_id"), "ts_ms")
+
+
 @register("mrr_current_streamed")
 def q_mrr_current_streamed(spark, sf):
     return _streamed(spark, sf).view(spark, "mrr_current")

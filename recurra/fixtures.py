@@ -330,6 +330,36 @@ def _attempt_messages(a: DataFrame, raw_topic, no_before) -> list[DataFrame]:
                      F.explode(copies).alias("value")).filter(F.col("value").isNotNull())]
 
 
+# Every sixteenth attempt, or subscription version, by key: the fault in its message.
+FAULTS = 16
+
+
+@_memo
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic of attempts, subscriptions and merchants from a producer that errs: (topic, value).
+
+    Of the attempts, by event id modulo 16: 0 without invoice_id, 1 with an
+    amount that is neither number nor bytes, 3 with a number in words, 4 without
+    merchant_id, 5 cut short. Subscription versions with 2 have no date in date_debut.
+    """
+    topic = lambda t: F.lit(f"{CDC_PREFIX}.{CDC_DB}.{t}").alias("topic")
+    no_before = F.lit(None).cast("string")
+
+    def wrong(df: DataFrame, tbl: str, faults: dict[str, tuple[int, str | None]]) -> Column:
+        after, kind = _encode_after(df, tbl), F.pmod(F.col("cdc_ts_ms"), F.lit(FAULTS))
+        for name, (k, text) in faults.items():
+            after = after.withField(name, F.when(kind == k, F.lit(text)).otherwise(after[name].cast("string")))
+        return _message(tbl, no_before, after, F.col("cdc_operation"), F.col("cdc_ts_ms"))
+
+    a, s = payment_attempts_stream(spark, sf_dir), subscriptions_stream(spark, sf_dir)
+    sent = wrong(a, "payment_attempts", {"invoice_id": (0, None), "montant_cad": (1, "12,5 CAD"),
+                                         "tentative_numero": (3, "three"), "merchant_id": (4, None)})
+    cut = F.when(F.pmod(F.col("cdc_ts_ms"), F.lit(FAULTS)) == 5, F.substring(sent, 1, 40)).otherwise(sent)
+    return (a.select(topic("payment_attempts"), cut.alias("value"))
+            .unionByName(s.select(topic("subscriptions"), wrong(s, "subscriptions", {"date_debut": (2, "soon")}).alias("value")))
+            .unionByName(cdc_messages(spark, sf_dir, ("merchants",))))
+
+
 def _delete_messages(spark, sf_dir, raw_topic) -> DataFrame:
     gone = (subscriptions_stream(spark, sf_dir).filter(F.col("subscription_id").endswith("9"))
             .groupBy("subscription_id", "merchant_id").agg(F.max("cdc_ts_ms").alias("last")))

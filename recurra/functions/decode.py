@@ -11,6 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Text that is a number: decimal digits with an optional point and exponent, or a named one.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -31,7 +35,8 @@ def decode_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Colu
     1. number or numeric text ('299.00', '299')
     2. base64 of the big-endian two's-complement unscaled integer ('dMw=' is
        0x74CC = 29900 -> 299.00), 1 to 16 bytes; the sign comes from the top bit.
-       Text that reads as a number is never taken for base64.
+       Text that reads as a number (NUMBER) is never taken for base64; text such
+       as '100D', which only a parser of Java literals takes for one, is.
     Anything else (bad padding, more than DECIMAL holds) is null.
     """
     c = _c(c)
@@ -46,7 +51,7 @@ def decode_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Colu
     half = F.lit("18446744073709551616").cast("decimal(20,0)")
     unscaled = F.try_add(F.try_multiply(upper, half), lower).cast("string")
     as_bytes = F.when(
-        c.try_cast("double").isNull() & (F.length(h) >= 2) & (F.length(h) <= 32) & (F.length(c) % 4 == 0),
+        ~c.rlike(NUMBER) & (F.length(h) >= 2) & (F.length(h) <= 32) & (F.length(c) % 4 == 0),
         F.concat(unscaled, F.lit(f"E-{scale}")).try_cast(target),
     )
     return F.coalesce(as_number, as_bytes)

@@ -10,11 +10,19 @@ expressions and works unchanged on a stream.
   ok          parsed, with an ``after`` image and the required keys
   deletes     parsed, no ``after`` image (the reference writers skip these)
   dead_letter unparseable messages and log rows missing a required key
+
+``route`` judges every change for each sink apart, in one typed pass (``label``):
+a row that the log must refuse (no required key, a date, time or number that
+cannot be decoded) may still reach the merchant state, which asks for a merchant
+only, and is a dead letter as well. Money that cannot be decoded is null in the
+log, as a gap in an amount must not lose the event, and a dead letter too. So no
+wrong value is silently null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -185,6 +193,84 @@ def normalise(ok: DataFrame, table: str) -> DataFrame:
                          F.col("ts_ms").alias("cdc_ts_ms"))
 
 
+# ------------------------------------------------------------------ one pass, several labels
+
+STATE_TABLES = ("merchants", "subscriptions", "payment_attempts")
+_OWN = ("table", "op", "ts_ms", "before", "after", "has_after", "corrupt", "processed_at")
+_LABELS = ("missing", "errors", "to_log", "to_state", "value")
+
+
+class Routed(NamedTuple):
+    logs: dict[str, DataFrame]        # log table -> the rows that it takes
+    state: dict[str, DataFrame]       # source table -> the rows that the merchant state takes
+    deletes: DataFrame
+    dead_letter: DataFrame
+
+
+def _passthrough(envelope: DataFrame, value: str) -> list[str]:
+    return [c for c in envelope.columns if c not in (*_OWN, value)]
+
+
+def label(envelope: DataFrame, table: str, value: str = "value") -> DataFrame:
+    """Every change of ``table``, typed once (C3-C7), with its verdicts:
+
+    missing    the first REQUIRED column without a value (C13), else null
+    errors     the columns whose received value cannot be decoded
+    to_log     whether the event log takes the row
+    to_state   whether the merchant state takes it (C12: it names a merchant)
+    value      the received text of a row that is a dead letter, else null
+    """
+    fields = schemas.TABLES[table][0].fields
+    keep = [*_passthrough(envelope, value), "op", "processed_at", "ts_ms"]
+    rows = envelope.filter(~F.col("corrupt") & F.col("has_after") & (F.col("table") == table))
+    rows = evaluate_once(rows, [*keep, value], _a=F.from_json(F.col("after"), _text_schema(table)))
+    typed = F.struct(*[decode_column(F.col("_a." + f.name), f.dataType).alias(f.name) for f in fields])
+    rows = evaluate_once(rows, [*keep, value, "_a"], _v=typed)
+
+    def undecodable(lenient: bool) -> list[Column]:
+        return [F.when(F.col("_a." + f.name).isNotNull() & F.col("_v." + f.name).isNull(), F.lit(f.name)) for f in fields
+                if not isinstance(f.dataType, (StringType, BooleanType)) and isinstance(f.dataType, DecimalType) is lenient]
+
+    def present(names: list[Column]) -> Column:
+        return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+
+    missing = F.coalesce(*[F.when(F.col("_v." + c).isNull(), F.lit(c)) for c in schemas.REQUIRED.get(table, ())],
+                         F.lit(None).cast("string"))
+    named = F.coalesce(F.col("_v.merchant_id") != "", F.lit(False))
+    rows = rows.select("*", missing.alias("missing"), present(undecodable(False)).alias("_refused"),
+                       present(undecodable(True)).alias("_nulled"))
+    errors = F.concat("_refused", "_nulled")
+    return rows.select(
+        *[c for c in keep if c not in ("op", "processed_at", "ts_ms")], "_v.*", F.col("op").alias("cdc_operation"),
+        F.col("processed_at").alias("cdc_timestamp"), F.col("ts_ms").alias("cdc_ts_ms"), "missing", errors.alias("errors"),
+        (F.lit(table in schemas.LOG_TABLES) & F.col("missing").isNull() & (F.size("_refused") == 0)).alias("to_log"),
+        (F.lit(table in STATE_TABLES) & named).alias("to_state"),
+        F.when(F.col("missing").isNotNull() | (F.size(errors) > 0), F.col(value)).alias("value"))
+
+
+def route(envelope: DataFrame, labelled: dict[str, DataFrame] | None = None, value: str = "value") -> Routed:
+    """The rows of every sink. ``labelled`` are the (persisted) results of ``label`` by table."""
+    labelled = labelled or {t: label(envelope, t, value) for t in schemas.TABLES}
+    passthrough = _passthrough(envelope, value)
+
+    def rows(table: str, verdict: str) -> DataFrame:
+        return labelled[table].filter(verdict).drop(*passthrough, *_LABELS)
+
+    corrupt = envelope.filter("corrupt").select(
+        *passthrough, F.lit(None).cast("string").alias("table"), F.col(value).alias("value"),
+        F.lit("unparseable").alias("reason"), "processed_at")
+    reason = F.when(F.col("missing").isNotNull(), F.concat(F.lit("missing_required:"), "missing")) \
+        .otherwise(F.concat(F.lit("undecodable:"), F.array_join("errors", ",")))
+    dead = [df.filter("value IS NOT NULL").select(*passthrough, F.lit(t).alias("table"), "value", reason.alias("reason"),
+                                                  F.col("cdc_timestamp").alias("processed_at"))
+            for t, df in labelled.items()]
+    deletes = envelope.filter("NOT corrupt AND NOT has_after").select(
+        *passthrough, "table", "op", "ts_ms", "before", "processed_at")
+    return Routed({schemas.LOG_TABLES[t]: rows(t, "to_log") for t in labelled if t in schemas.LOG_TABLES},
+                  {t: rows(t, "to_state") for t in labelled if t in STATE_TABLES},
+                  deletes, reduce(DataFrame.unionByName, dead, corrupt))
+
+
 def log_tables(ok: DataFrame, tables: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """K1 routing: log table -> typed rows. Unknown tables and ``merchants``
     (state only) get no log."""

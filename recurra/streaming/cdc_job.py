@@ -13,11 +13,12 @@ once (persisted) and fanned out to
     re-aggregation equals the direct aggregate over the log.
 
 The state merge is commutative, associative and idempotent: each field group
-keeps its value with its order key (max wins), the failure counter keeps the
-latest non-failed attempt key and the distinct failed attempts after it. So
-batches may arrive in any order, or twice, with the same final state. The
-failure list holds only the current run of failures (the dunning rule stops a
-run at 3 failed attempts per invoice), never a merchant's history.
+keeps its value with its order key (max wins), and the failure counter keeps the
+latest non-failed attempt key of a merchant and, as rows of their own, the
+distinct failed attempts after it. So batches may arrive in any order, or twice,
+with the same final state, and no row grows with a merchant's failures. The
+failure rows lie in the merchant's bucket; they meet the reset keys by merchant
+and salt of the attempt, so that a hot merchant's rows go to ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -48,14 +49,34 @@ def _pair(value: str, src: list[str]) -> Column:
     return F.max_by(F.struct(F.col("ord").alias("ord"), F.col(value).alias("v")), ordv)
 
 
+def _salt(attempt_id: str) -> Column:
+    return F.pmod(F.xxhash64(attempt_id), F.lit(st.SALTS)).cast("int")
+
+
+def _since_reset(fails: DataFrame, merchants: DataFrame) -> DataFrame:
+    """The failure rows after their merchant's reset key, met by merchant and salt."""
+    resets = merchants.filter(F.col("reset").isNotNull()).select(
+        F.col("merchant_id").alias("of"), "reset", F.explode(F.sequence(F.lit(0), F.lit(st.SALTS - 1))).alias("of_salt"))
+    fails = fails.withColumn("salt", _salt("fail.attempt_id"))
+    met = (F.col("merchant_id") == F.col("of")) & (F.col("salt") == F.col("of_salt"))
+    kept = fails.join(resets, met & (F.col("fail") <= F.col("reset")), "left_anti")
+    return kept.drop("salt")
+
+
+def _with_failures(merchants: DataFrame, fails: DataFrame) -> DataFrame:
+    """Merchant rows and failure rows as one relation; ``fail`` is null in the former, all else in the latter."""
+    return (merchants.withColumn("fail", F.lit(None).cast(fails.schema["fail"].dataType))
+            .unionByName(fails, allowMissingColumns=True))
+
+
 def state_partials(events: DataFrame, buckets: int = STATE_BUCKETS) -> DataFrame:
-    """Mergeable per-merchant record of a set of events."""
+    """Mergeable records of a set of events: one row per merchant, and one per failed attempt of its current run."""
     key = F.struct(F.col("att.created_at").alias("created_at"), F.col("ord.key").alias("attempt_id"))
     is_att = F.col("src") == "payment_attempts"
     failed = is_att & (F.col("att.statut") == "failed")
     not_failed = is_att & ~F.col("att.statut").eqNullSafe("failed")
     ev = events.withColumn("_k", key)
-    resets = ev.groupBy("merchant_id").agg(
+    merchants = ev.groupBy("merchant_id").agg(
         _pair("sub", ["subscriptions"]).alias("sub_p"),
         _pair("mer", ["merchants"]).alias("mer_p"),
         _pair("att", ["payment_attempts"]).alias("att_p"),
@@ -63,12 +84,8 @@ def state_partials(events: DataFrame, buckets: int = STATE_BUCKETS) -> DataFrame
         F.max("ts").alias("updated_at"),
         F.max(F.when(not_failed, F.col("_k"))).alias("reset"))
     # failed attempts after this batch's own reset point only (the current run)
-    runs = (ev.filter(failed).select("merchant_id", "_k")
-            .join(resets.select("merchant_id", "reset"), "merchant_id", "left")
-            .filter(F.col("reset").isNull() | (F.col("_k") > F.col("reset")))
-            .groupBy("merchant_id").agg(F.collect_set("_k").alias("fails")))
-    return (resets.join(runs, "merchant_id", "left")
-            .withColumn("fails", F.coalesce("fails", F.array().cast("array<struct<created_at:timestamp_ntz,attempt_id:string>>")))
+    fails = _since_reset(ev.filter(failed).select("merchant_id", F.col("_k").alias("fail")).distinct(), merchants)
+    return (_with_failures(merchants, fails)
             .withColumn("bucket", F.pmod(F.xxhash64("merchant_id"), F.lit(buckets)).cast("int")))
 
 
@@ -76,20 +93,23 @@ def merge_partials(records: DataFrame) -> DataFrame:
     """Merge records of the same merchant (any order, duplicates allowed)."""
     def best(c: str) -> Column:
         return F.max_by(F.col(c), F.col(c + ".ord"))
-    m = records.groupBy("merchant_id", "bucket").agg(
+    merchants = records.filter(F.col("fail").isNull()).groupBy("merchant_id", "bucket").agg(
         best("sub_p").alias("sub_p"), best("mer_p").alias("mer_p"), best("att_p").alias("att_p"),
-        best("plan_p").alias("plan_p"), F.max("updated_at").alias("updated_at"),
-        F.max("reset").alias("reset"), F.array_distinct(F.flatten(F.collect_list("fails"))).alias("fails"))
-    return m.withColumn("fails", F.filter("fails", lambda k: F.col("reset").isNull() | (k > F.col("reset"))))
+        best("plan_p").alias("plan_p"), F.max("updated_at").alias("updated_at"), F.max("reset").alias("reset"))
+    fails = records.filter(F.col("fail").isNotNull()).select("merchant_id", "bucket", "fail").distinct()
+    return _with_failures(merchants, _since_reset(fails, merchants)).select(*records.columns)
 
 
 def state_view(records: DataFrame) -> DataFrame:
     """Stored records -> MERCHANT_STATE rows."""
-    fields = records.select("merchant_id", F.col("sub_p.v").alias("sub"), F.col("mer_p.v").alias("mer"),
-                            F.col("att_p.v").alias("att"), F.struct(F.col("plan_p.v").alias("plan")).alias("plan_v"),
-                            "updated_at")
-    fails = records.select("merchant_id", F.when(F.col("att_p").isNotNull(), F.size("fails").cast("bigint"))
-                           .alias("nb_echecs_paiement_consecutifs"))
+    merchants = records.filter(F.col("fail").isNull())
+    fields = merchants.select("merchant_id", F.col("sub_p.v").alias("sub"), F.col("mer_p.v").alias("mer"),
+                              F.col("att_p.v").alias("att"), F.struct(F.col("plan_p.v").alias("plan")).alias("plan_v"),
+                              "updated_at")
+    run = (records.filter(F.col("fail").isNotNull()).groupBy("merchant_id", _salt("fail.attempt_id").alias("salt"))
+           .agg(F.count_distinct("fail.attempt_id").alias("n")).groupBy("merchant_id").agg(F.sum("n").alias("n")))
+    fails = (merchants.filter(F.col("att_p").isNotNull()).select("merchant_id").join(run, "merchant_id", "left")
+             .select("merchant_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("nb_echecs_paiement_consecutifs")))
     return st.assemble(fields, fails).select(*[f.name for f in schemas.MERCHANT_STATE.fields])
 
 
@@ -121,18 +141,16 @@ class CdcJob:
         envelope = cdc.parse_envelope(batch).persist()   # one JSON parse per message
         cached = [envelope]
         try:
-            d = cdc.split(envelope)
-            logs = {}
-            for name, rows in cdc.log_tables(d.ok).items():
-                logs[name] = rows.persist()
-                cached.append(logs[name])
+            labelled = {t: cdc.label(envelope, t).persist() for t in schemas.TABLES}
+            cached += labelled.values()
+            routed = cdc.route(envelope, labelled)
+            for name, rows in routed.logs.items():
                 self._write_batch_partition(rows, self.path("logs", name), batch_id)
-            self._write_batch_partition(d.dead_letter, self.path("dead_letter"), batch_id)
-            self._write_batch_partition(d.deletes, self.path("deletes"), batch_id)
+            self._write_batch_partition(routed.dead_letter, self.path("dead_letter"), batch_id)
+            self._write_batch_partition(routed.deletes, self.path("deletes"), batch_id)
             for view, fn in self.views.items():
-                self._write_batch_partition(fn(logs["subscriptions_stream"]), self.path("partials", view), batch_id)
-            events = st.state_events(cdc.normalise(d.ok, "merchants"), logs["subscriptions_stream"],
-                                     logs["payment_attempts_stream"])
+                self._write_batch_partition(fn(routed.logs["subscriptions_stream"]), self.path("partials", view), batch_id)
+            events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
             self._merge_state(spark, events)
         finally:
             for c in cached:
