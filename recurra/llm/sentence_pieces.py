@@ -14,9 +14,9 @@ weights add along a path, and the least sum wins.
   it is the model's segmentation. The states of the transducer are the pieces,
   and its steps are worked out when first asked for.
 
-No piece reaches across a blank or a character that is in no longer piece, so a
-text is cut there, and the shortest paths of its cuts join up to its own. Tasks
-remember the paths of recent cuts.
+No piece reaches across a blank, a character that is in no longer piece, or two
+neighbours that no piece holds together, so a text is cut there, and the shortest
+paths of its cuts join up to its own. Tasks remember the paths of recent cuts.
 
 Decoding runs the transducers the other way: pieces to bytes, marks to blanks,
 without the dummy prefix. A text round-trips unless the normaliser changes it or
@@ -46,7 +46,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-REMEMBERED = 300_000       # cuts, or steps, a task remembers
+REMEMBERED = 400_000       # cuts, or steps, a task remembers
 
 
 def _replacements(blob: bytes) -> dict[str, str]:
@@ -119,12 +119,18 @@ class Transducer:
             node[""] = i
         longer = [p for p in self.id if len(p) > 1]
         joined = {c for p in longer for c in p}
+        self.inside = {p[i:i + 2] for p in longer for i in range(len(p) - 1)}      # neighbours within some piece
+        self.longest = max(map(len, self.id), default=1)
         m = re.escape(self.mark)
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and chr(c) != self.mark)
         if any(self.mark in p.lstrip(self.mark) for p in longer):
             self.cuts = re.compile("(?s).+")
         else:
-            self.cuts = re.compile(f"[{alone}]|{m}*[^{m}{alone}]+|{m}+" if alone else f"{m}*[^{m}]+|{m}+")
+            # marks that no piece holds after a letter end a word there, so that it is remembered without them
+            ends = "".join(re.escape(p) for p in "!\"'(),-./:;?[]{}|" if not any(
+                x[0].isalpha() and x[1] == p for x in self.inside))
+            word = f"{m}*[^{m}{alone}{ends}]*[A-Za-z](?=[{ends}])|" if ends else ""
+            self.cuts = re.compile(f"{f'[{alone}]|' if alone else ''}{word}{m}*[^{m}{alone}]+|{m}+")
         if self.rules:
             self.replace = re.compile("|".join(re.escape(k) for k in sorted(self.rules, key=lambda k: (-len(k), k))))
         self.step = _Memo(self._fits)
@@ -136,7 +142,7 @@ class Transducer:
         self.raw = raw
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("step", "paths", "cuts", "replace", "tree", "raw")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("step", "paths", "cuts", "replace", "tree", "raw", "inside")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -171,15 +177,50 @@ class Transducer:
 
     def shortest_path(self, text: str) -> list[str]:
         """The pieces (or single characters without one) on the path of least weight."""
-        n, bpe, tree, step, score = len(text), self.bpe, self.tree, self.step, self.score
+        return self._free_path(text) if self.bpe else self._cheapest_path(text)
+
+    def _free_path(self, text: str) -> list[str]:
+        """The one path of weight 0, found depth first, longest piece first.
+
+        Steps weigh 0 or infinity, so the first path to reach the end is the
+        shortest. Every beginning of a text has one free path, so a place that
+        leads nowhere is tried once.
+        """
+        n, pieces, step, most = len(text), self.id, self.step, self.longest
+        path, begins, dead, at, last = [], [], set(), 0, ""
+        j = min(n, most)
+        while at < n:
+            while j > at:
+                piece = text[at:j]
+                if piece in pieces:
+                    if j not in dead and (not last or step[last, piece]):
+                        break
+                elif j == at + 1 and j not in dead:     # byte fallback: no step but this one leads over the character
+                    break
+                j -= 1
+            if j > at:
+                begins.append(at)
+                path.append(piece)
+                last, at = piece, j
+                j = min(n, at + most)
+            else:       # back to where this place was reached from, and on with the next shorter piece there
+                dead.add(at)
+                j, at = at - 1, begins.pop()
+                path.pop()
+                last = path[-1] if path else ""
+        return path
+
+    def _cheapest_path(self, text: str) -> list[str]:
+        """The path of least cost, by dynamic programming from left to right."""
+        n, tree, score = len(text), self.tree, self.score
         cost, back = [math.inf] * (n + 1), [""] * (n + 1)
         cost[0] = 0.0
         for i in range(n):
             if cost[i] == math.inf:
                 continue
-            node, last, single = tree.get(text[i]), back[i], text[i]
-            if node is None or "" not in node:     # byte fallback: no step but this one leads over the character
-                w = cost[i] + (0.0 if bpe else self.unknown_cost)
+            node, single = tree.get(text[i]), text[i]
+            if node is None or "" not in node:
+                w = cost[i] + self.unknown_cost
                 if w < cost[i + 1]:
                     cost[i + 1], back[i + 1] = w, single
             j = i
@@ -187,10 +228,7 @@ class Transducer:
                 j += 1
                 if "" in node:
                     piece = text[i:j]
-                    if bpe:
-                        if cost[j] > 0 and (not last or step[last, piece]):
-                            cost[j], back[j] = 0.0, piece
-                    elif cost[i] - score[piece] < cost[j]:
+                    if cost[i] - score[piece] < cost[j]:
                         cost[j], back[j] = cost[i] - score[piece], piece
                 node = node.get(text[j]) if j < n else None
         out, at = [], n
@@ -200,15 +238,23 @@ class Transducer:
         return out[::-1]
 
     def _path_bytes(self, text: str) -> bytes:
+        """The ids of a cut: its path, or the paths of its parts between neighbours that no piece holds together."""
+        inside, n = self.inside, len(text)
+        ends = [i for i in range(1, n) if text[i - 1:i + 1] not in inside]
+        if ends:
+            return self._joined([text[a:b] for a, b in zip([0, *ends], [*ends, n])])
         out = []
         for p in self.shortest_path(text):
             i = self.id.get(p)
             out += [i] if i is not None else [self.bytes[b] for b in p.encode()] if self.bytes else [self.unknown]
         return np.array(out, "<i4").tobytes()
 
+    def _joined(self, cuts: list[str]) -> bytes:
+        paths = self.paths
+        return b"".join([paths[c] if len(c) <= 64 else self._path_bytes(c) for c in cuts])
+
     def encode(self, text: str) -> np.ndarray:
-        cuts, paths = self.cuts.findall(self.normalise(text)), self.paths
-        return np.frombuffer(b"".join([paths[c] if len(c) <= 64 else self._path_bytes(c) for c in cuts]), "<i4")
+        return np.frombuffer(self._joined(self.cuts.findall(self.normalise(text))), "<i4")
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
