@@ -41,13 +41,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: documents in training order, repeated, or left out, as their source's target asks.
-
-    A copy of which the target needs only a part keeps its first words; n_chars
-    follows the text.
-    """
-    return mixing.mix(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))
-                                       .cast(docs.schema["n_chars"].dataType))
+    """Mixing: whole documents in training order, repeated, or left out, as their source's target asks."""
+    return mixing.mix(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
