@@ -357,6 +357,38 @@ def q_plan_change_apply_merchants(spark, sf):
     return _plan_changes(spark, sf).merchants
 
 
+_BOOKS: dict = {}
+
+
+def _book(spark: SparkSession, sf: str):
+    """The operational tables after one billing day with all of its rules; one book for the queries of a session."""
+    from uuid import uuid4
+
+    from recurra.plans.billing_book import BillingBook
+    from recurra.session import checkpoint_root
+
+    key = (spark.sparkContext.applicationId, id(spark), sf.rstrip("/"))
+    if key not in _BOOKS:
+        book = BillingBook(spark, f"{checkpoint_root(spark)}/books/{uuid4().hex}", buckets=8)
+        book.load("subscriptions", _current_subs(spark, sf, RETRY_AS_OF))
+        book.load("invoices", _current_invoices(spark, sf, RETRY_AS_OF))
+        book.load("merchants", fx.merchants(spark, sf))
+        book.run(RETRY_AS_OF, fx.payment_attempts_stream(spark, sf), fx.plan_changes_stream(spark, sf))
+        _BOOKS[key] = book
+    return _BOOKS[key]
+
+
+def _applied(table):
+    def q(spark, sf):
+        return _book(spark, sf).table(table)
+    q.__doc__ = f"B1-B6: {table} after the folded change set of a billing day, one row per key."
+    return q
+
+
+for _t in ["subscriptions", "invoices", "merchants"]:
+    register(f"billing_apply_{_t}")(_applied(_t))
+
+
 # ---------------------------------------------------------------- de-duplicated variants (one row per subscription)
 
 @register("mrr_current_latest")

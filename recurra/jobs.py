@@ -4,6 +4,8 @@ snapshot   typed load of the delimited dump into ``<out>/<table>_batch`` (S2-S4,
 reconcile  streaming vs batch MRR for a day, appended to the reconciliation log (R1-R3, K4)
 stream     the CDC streaming job over a directory of topic files (K1, K2, K6)
 billing    the billing transitions for a day, written as change sets (B1-B6)
+load-book  fill a versioned book with the operational tables as of a day
+billing-day  all billing rules of a day, folded per key and merged into the book
 compact    rewrite closed batches of the streaming job's logs into months
 
 ``register_metric_views`` registers the metric views in a session (K5).
@@ -25,6 +27,7 @@ from recurra import schemas
 from recurra.operators import billing
 from recurra.operators.latest import latest_version
 from recurra.plans import metrics, reconcile, serving
+from recurra.plans.billing_book import BillingBook
 from recurra.session import apply_cluster_defaults
 from recurra.sources import sinks, snapshot
 from recurra.sources.cdc_source import from_kafka, read_cdc_files
@@ -97,8 +100,24 @@ def run_billing(spark: SparkSession, logs: str, merchants_path: str, out: str, a
         "plan_changed_subscriptions": plans.subscriptions, "plan_changed_merchants": plans.merchants,
     }
     for name, df in outputs.items():
-        df.withColumn("as_of", F.lit(as_of).cast("date")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(f"{out}/{name}")
+        # the day's folder itself is replaced, so that a rerun without rows leaves none of an earlier run
+        df.write.mode("overwrite").parquet(f"{out}/{name}/as_of={as_of}")
+
+
+def run_billing_day(spark: SparkSession, book: str, logs: str, as_of: str) -> None:
+    """All rules of a day folded into one change per key and merged into the book's tables."""
+    BillingBook(spark, book).run(as_of, read_log(spark, logs, "payment_attempts_stream"),
+                                 read_log(spark, logs, "plan_changes_stream"))
+
+
+def load_book(spark: SparkSession, book: str, logs: str, merchants_path: str, as_of: str) -> None:
+    """Fill a new book with the tables as they stood at a day."""
+    def known(table: str):
+        return billing.known_at(read_log(spark, logs, table), as_of)
+    held = BillingBook(spark, book)
+    held.load("subscriptions", latest_version(known("subscriptions_stream"), "subscription_id", reconcile.TIE_BREAK_ORDER))
+    held.load("invoices", serving.current_invoices(known("invoices_stream")))
+    held.load("merchants", spark.read.parquet(merchants_path))
 
 
 def run_compaction(spark: SparkSession, root: str, through_batch: int) -> None:
@@ -158,6 +177,13 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--merchants", required=True)
     b.add_argument("--output", required=True)
     b.add_argument("--date", required=True)
+    for name in ("load-book", "billing-day"):
+        d = sub.add_parser(name)
+        d.add_argument("--book", required=True)
+        d.add_argument("--logs", required=True)
+        d.add_argument("--date", required=True)
+        if name == "load-book":
+            d.add_argument("--merchants", required=True)
     c = sub.add_parser("compact")
     c.add_argument("--output", required=True, help="output folder of the streaming job")
     c.add_argument("--through-batch", type=int, required=True, help="last closed batch")
@@ -173,6 +199,10 @@ def main(argv: list[str] | None = None) -> None:
         CdcJob(args.output).start(_stream_source(spark, args), args.checkpoint, trig).awaitTermination()
     elif args.job == "billing":
         run_billing(spark, args.logs, args.merchants, args.output, args.date)
+    elif args.job == "load-book":
+        load_book(spark, args.book, args.logs, args.merchants, args.date)
+    elif args.job == "billing-day":
+        run_billing_day(spark, args.book, args.logs, args.date)
     elif args.job == "compact":
         run_compaction(spark, args.output, args.through_batch)
 

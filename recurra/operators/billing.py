@@ -107,7 +107,9 @@ def apply_retries(invoices: DataFrame, attempts: DataFrame, subs: DataFrame, mer
     """
     now, _ = _now(as_of)
     cand = retry_candidates(invoices, as_of).withColumn("_n", F.col("tentatives_paiement") + 1)
-    outcome = (known_at(attempts, as_of, "created_at").groupBy("invoice_id", F.col("tentative_numero").alias("_n"))
+    # candidates first: of all attempts only those that decide one are aggregated
+    made = known_at(attempts, as_of, "created_at").withColumn("_n", F.col("tentative_numero"))
+    outcome = (made.join(cand.select("invoice_id", "_n"), ["invoice_id", "_n"], "left_semi").groupBy("invoice_id", "_n")
                .agg(F.max_by("statut", F.struct("created_at", "attempt_id")).alias("_outcome")))
     tried = cand.join(outcome, ["invoice_id", "_n"], "inner")
     ok = F.col("_outcome") == "succeeded"
@@ -172,3 +174,82 @@ def apply_plan_changes(subs: DataFrame, merchants: DataFrame, changes: DataFrame
          .withColumns({"plan": F.col("_c.nouveau_plan"), "updated_at": F.col("_c.at")})
          .select(*_cols("merchants")))
     return PlanChangeResult(s, m)
+
+
+# ------------------------------------------------------------------ all rules of a day
+
+# The order in which the rules of a day are applied: each reads the row as the rules before it left it.
+RULES = ("plan_change", "trial_expiry", "scheduled_cancellation", "billing_run", "dunning")
+
+
+class BillingDay(NamedTuple):
+    """Change sets, one row per changed key, with the names of the ``rules`` that changed it, in order."""
+
+    subscriptions: DataFrame
+    invoices: DataFrame
+    merchants: DataFrame
+
+
+def _apply(rows: DataFrame, rule: str, when: Column, **values: Column) -> DataFrame:
+    """One rule folded into the rows: the values where ``when`` holds, and its name noted."""
+    rows = rows.withColumn("_hit", F.coalesce(when, F.lit(False)))
+    return rows.withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in values.items()}
+                            | {"rules": F.when(F.col("_hit"), F.array_append("rules", F.lit(rule))).otherwise(F.col("rules"))})
+
+
+def _latest_changes(changes: DataFrame, key: str) -> DataFrame:
+    pos = [F.col("cdc_ts_ms")] if "cdc_ts_ms" in changes.columns else []
+    return changes.groupBy(F.col(key).alias("_key")).agg(F.max_by(
+        F.struct("nouveau_plan", "nouveau_montant_cad", F.col("updated_at").alias("at")),
+        F.struct(F.col("updated_at"), *pos, F.col("change_id"))).alias("_c"))
+
+
+def billing_day(subs: DataFrame, invoices: DataFrame, merchants: DataFrame, attempts: DataFrame, changes: DataFrame,
+                as_of) -> BillingDay:
+    """All rules at ``as_of`` over the current tables, folded per key into one row.
+
+    Where rules meet in one subscription, the order of RULES decides: one that is
+    cancelled today is not billed, a new price is billed at once, and what was
+    billed today may still churn with its merchant. An invoice is retried or new,
+    never both. Attempts and plan changes after ``as_of`` are not known yet.
+    """
+    now, today = _now(as_of)
+    none = F.array().cast("array<string>")
+    known = known_at(changes, as_of)
+    retries = apply_retries(invoices, attempts, subs, merchants, as_of)
+    lost = (retries.invoices.filter((F.col("statut") != "paid") & (F.col("tentatives_paiement") >= MAX_ATTEMPTS))
+            .select(F.col("merchant_id").alias("_lost")).distinct())
+    applies = F.col("_c").isNotNull() & (F.col("_c.at") >= F.col("updated_at"))
+
+    s = subs.select(*_cols("subscriptions")).join(_latest_changes(known, "subscription_id"),
+                                                  F.col("subscription_id") == F.col("_key"), "left")
+    s = s.join(lost, F.col("merchant_id") == F.col("_lost"), "left").withColumn("rules", none)
+    s = _apply(s, "plan_change", applies, plan=F.col("_c.nouveau_plan"), montant_mensuel_cad=F.col("_c.nouveau_montant_cad"),
+               updated_at=F.col("_c.at"))
+    s = _apply(s, "trial_expiry", (F.col("statut") == "trial") & (F.col("periode_essai_fin").cast("timestamp_ntz") < now),
+               statut=F.lit("churned"), updated_at=now)
+    s = _apply(s, "scheduled_cancellation", F.col("annulation_schedulee") & (F.col("date_prochain_paiement") <= today),
+               statut=F.lit("cancelled"), annulation_schedulee=F.lit(False), updated_at=now)
+    s = s.withColumn("due", F.when((F.col("statut") == "active") & (F.col("date_prochain_paiement") <= today),
+                                   F.col("date_prochain_paiement")))
+    s = _apply(s, "billing_run", F.col("due").isNotNull(), date_prochain_paiement=F.add_months("due", 1), updated_at=now)
+    s = _apply(s, "dunning", F.col("_lost").isNotNull() & (F.col("statut") == "active"), statut=F.lit("churned"), updated_at=now)
+
+    billed = s.filter(F.col("due").isNotNull()).select(
+        F.concat(F.lit("INV-"), "subscription_id", F.lit("-"), F.regexp_replace(F.col("due").cast("string"), "-", ""))
+        .alias("invoice_id"), "merchant_id", "subscription_id", F.col("montant_mensuel_cad").alias("montant_cad"),
+        F.lit("pending").alias("statut"), today.alias("date_emission"), today.alias("date_echeance"),
+        F.lit(None).cast("timestamp_ntz").alias("date_paiement"), F.lit(1).alias("tentatives_paiement"), now.alias("updated_at"),
+        F.array(F.lit("billing_run")).alias("rules"))
+
+    m = merchants.select(*_cols("merchants")).join(_latest_changes(known, "merchant_id"),
+                                                   F.col("merchant_id") == F.col("_key"), "left")
+    m = m.join(lost, F.col("merchant_id") == F.col("_lost"), "left").withColumn("rules", none)
+    m = _apply(m, "plan_change", applies, plan=F.col("_c.nouveau_plan"), updated_at=F.col("_c.at"))
+    m = _apply(m, "dunning", F.col("_lost").isNotNull(), statut=F.lit("churned"), updated_at=now)
+
+    changed = F.size("rules") > 0
+    return BillingDay(
+        s.filter(changed).select(*_cols("subscriptions"), "rules"),
+        retries.invoices.withColumn("rules", F.array(F.lit("dunning"))).unionByName(billed),
+        m.filter(changed).select(*_cols("merchants"), "rules"))
