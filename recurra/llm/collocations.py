@@ -32,11 +32,10 @@ gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,32 +49,44 @@ BEST = 2000
 PARTS = 4              # one place in so many is a trigger
 HELD = 100_000         # distinct chunks that a task holds before it writes them
 BREAKS = b".,;:!?\n\x0b\x0c\r"      # fixed by the definition of a piece
+BREAK = b"\n"          # stands for all of them
 # A-Z in lower case, all breaks as line ends, tabs as spaces
 _PLAIN = bytes(10 if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-_MULTIPLIER, _MASK = 0x9E3779B1, 0xFFFFFFFF
-
-
-class _Hashes(dict):
-    """Hashes of the words seen lately."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = value = crc32(word) * _MULTIPLIER & _MASK
-        return value
-
-
-def chunks(words: list[bytes], overlap: int, hashes: dict, parts: int = PARTS) -> Iterator[tuple[int, bytes]]:
-    """(number of own words, chunk) of one piece, from left to right."""
-    n, begin = len(words), 0
-    if n > overlap + 1:
-        h = [hashes[w] for w in words]
-        mixed = h if overlap == 1 else [sum(w * (2 * j + 1) for j, w in enumerate(x)) for x in zip(*(h[j:] for j in range(overlap)))]
-        for at in range(1, n - overlap):       # a chunk owns a word at least, and the last one more than the overlap
-            if (mixed[at] * _MULTIPLIER & _MASK) >> 16 & 0xFFFF < 0x10000 // parts:
-                yield at - begin, b" ".join(words[begin:at + overlap])
-                begin = at
-    yield n - begin, b" ".join(words[begin:])
+_MULTIPLIER = 0x9E3779B1
+_NUMBERS = np.random.default_rng(0x9E37).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
+_NUMBERS[32 << 8:33 << 8] = 0        # a space begins none
+
+
+def chunks(data: bytes, overlap: int, parts: int = PARTS) -> Iterator[tuple[int, bytes]]:
+    """(number of own words, chunk) of the pieces between breaks, from left to right.
+
+    ``data`` is words and breaks with one space between them.
+    """
+    if not data:
+        return
+    raw = np.frombuffer(data + b" ", np.uint8)
+    spaces = np.flatnonzero(raw == 32)
+    starts, stops = np.append(0, spaces[:-1] + 1), spaces
+    n, size = len(starts), stops - starts
+    # a word's hash adds up a number for each of its bytes and the byte after it, the space at its end among them
+    h = np.add.reduceat(_NUMBERS[raw[:-1].astype(np.uint16) << 8 | raw[1:]], starts, dtype=np.uint32)
+    word = np.concatenate([[False], (size > 1) | (raw[starts] != 10), [False] * (overlap + 1)])      # breaks around
+    h = np.append(h, np.zeros(overlap, np.uint32))
+    inside, mixed = word[:n].copy(), np.zeros(n, np.uint32)     # a word before, and words up to one after the overlap
+    for j in range(overlap + 1):
+        inside &= word[1 + j:1 + j + n]
+        if j < overlap:
+            mixed = (mixed * np.uint32(31) + h[j:j + n]) * np.uint32(_MULTIPLIER)
+    cut = inside & (mixed >> np.uint32(8) < (1 << 24) // parts)
+    begins = np.flatnonzero(cut | word[1:n + 1] & ~word[:n])
+    ends = np.append(np.flatnonzero(~word[1:n + 1]), n)
+    piece = ends[np.searchsorted(ends, begins)]
+    nxt = np.append(begins[1:], n)
+    goes_on = np.append(cut[begins[1:]], False)[:len(begins)]
+    own = np.where(goes_on, nxt[:len(begins)], piece) - begins
+    last = np.where(goes_on, nxt[:len(begins)] + overlap, piece) - 1
+    for k, i, j in zip(own.tolist(), starts[begins].tolist(), stops[last].tolist()):
+        yield k, data[i:j]
 
 
 def parse(docs: DataFrame, longest: int = LONGEST, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -83,7 +94,7 @@ def parse(docs: DataFrame, longest: int = LONGEST, text: str = "text", lang: str
     overlap, parts = max(1, longest - 1), PARTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, hashes = Counter(), _Hashes()
+        held = {}
 
         def written() -> pa.RecordBatch:
             of, own, chunk = zip(*held) if held else ((), (), ())
@@ -95,14 +106,11 @@ def parse(docs: DataFrame, longest: int = LONGEST, text: str = "text", lang: str
 
         for b in batches:
             for of, t in zip(b.column(0).to_pylist(), b.column(1)):
-                for piece in (t.as_py() or b"").translate(_PLAIN).split(b"\n"):
-                    words = piece.split(b" ")
-                    if b"" in words:
-                        words = [w for w in words if w]
-                    if words:
-                        held.update((of, own, chunk) for own, chunk in chunks(words, overlap, hashes, parts))
-                    if len(held) >= HELD:
-                        yield written()
+                apart = (t.as_py() or b"").translate(_PLAIN).replace(BREAK, b" \n ").split(b" ")
+                for own, chunk in chunks(b" ".join(filter(None, apart)), overlap, parts):
+                    held[of, own, chunk] = held.get((of, own, chunk), 0) + 1
+                if len(held) >= HELD:
+                    yield written()
         yield written()
 
     read = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
@@ -112,11 +120,14 @@ def parse(docs: DataFrame, longest: int = LONGEST, text: str = "text", lang: str
 
 def count_phrases(dictionary: DataFrame, k: int) -> DataFrame:
     """lang, phrase, f: every phrase of k words with its number of occurrences."""
-    starts = F.least("own", F.size("ws") - (k - 1))
-    phrases = F.transform(F.slice("ws", F.lit(1), F.greatest(starts, F.lit(0))), lambda w, i: F.concat_ws(
-        " ", w, *[F.get("ws", i + j) for j in range(1, k)]) if k > 1 else w)
+    # shifted word arrays, zipped, and joined after the generator in generated code; an outer generator, as for an
+    # inner one the optimiser would work the array out a second time, to ask whether it is empty
+    n = F.greatest(F.least("own", F.size("ws") - (k - 1)), F.lit(0))
+    runs = F.arrays_zip(*[F.slice("ws", F.lit(1 + j), n).alias(f"w{j}") for j in range(k)])
+    phrase = F.concat(F.col("run.w0"), *[c for j in range(1, k) for c in (F.lit(" "), F.col(f"run.w{j}"))])
     return (dictionary.select("lang", "own", "n", F.split("chunk", " ").alias("ws"))
-            .select("lang", "n", F.explode(phrases).alias("phrase"))
+            .select("lang", "n", F.explode_outer(runs).alias("run")).where("run IS NOT NULL")
+            .select("lang", "n", phrase.alias("phrase"))
             .groupBy("lang", "phrase").agg(F.sum("n").alias("f")))
 
 
