@@ -442,6 +442,12 @@ def q_merchant_lookup_stored(spark, sf):
     return _streamed(spark, sf).merchant(spark, LOOKUP_MERCHANT)
 
 
+@register("state_mrr_stored")
+def q_state_mrr_stored(spark, sf):
+    """A9 on the state that the streaming job stores."""
+    return _streamed(spark, sf).state_mrr(spark)
+
+
 @register("dead_letter_streamed")
 def q_dead_letter_streamed(spark, sf):
     """The dead letters that the streaming job wrote."""

@@ -141,7 +141,7 @@ def register_metric_views(spark: SparkSession, logs: str) -> None:
 
 def _stream_source(spark: SparkSession, args):
     if args.format == "files":
-        return read_cdc_files(spark, args.source)
+        return read_cdc_files(spark, args.source, max_files_per_trigger=args.max_files)
     reader = spark.readStream.format(args.format)
     for kv in args.option:
         k, _, v = kv.partition("=")
@@ -169,6 +169,8 @@ def main(argv: list[str] | None = None) -> None:
     st_.add_argument("--format", default="files", help="'files' or any streaming source yielding "
                      "(topic, value), e.g. kafka")
     st_.add_argument("--option", action="append", default=[], help="source option key=value (repeatable)")
+    st_.add_argument("--max-files", type=int, default=None, help="files taken by one batch of the 'files' source")
+    st_.add_argument("--dedupe-batches", type=int, default=0, help="batches in which a redelivered message is looked for")
     st_.add_argument("--output", required=True)
     st_.add_argument("--checkpoint", default=None)
     st_.add_argument("--trigger", default="15 minutes", help="processing-time interval or 'available-now'")
@@ -196,7 +198,8 @@ def main(argv: list[str] | None = None) -> None:
         print(run_reconciliation(spark, args.stream, args.batch, args.log, args.date))
     elif args.job == "stream":
         trig = {"availableNow": True} if args.trigger == "available-now" else {"processingTime": args.trigger}
-        CdcJob(args.output).start(_stream_source(spark, args), args.checkpoint, trig).awaitTermination()
+        job = CdcJob(args.output, dedupe_batches=args.dedupe_batches)
+        job.start(_stream_source(spark, args), args.checkpoint, trig).awaitTermination()
     elif args.job == "billing":
         run_billing(spark, args.logs, args.merchants, args.output, args.date)
     elif args.job == "load-book":

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from recurra.functions.calendar import not_after_day
 from recurra.functions.numeric import relative_gap, threshold_status
 from recurra.functions.text import money_text, percent_text
+from recurra.operators import cdc
 
 SUM_TYPE = "decimal(20,2)"
 THRESHOLD = 0.001
@@ -80,7 +81,7 @@ def reconciliation_status(stream: DataFrame, batch: DataFrame, as_of,
 
 def log_row(status: DataFrame) -> DataFrame:
     """Row for the append-only reconciliation log (K4): adds checked_at."""
-    return status.withColumn("checked_at", F.localtimestamp())
+    return status.withColumn("checked_at", cdc.processing_time())
 
 
 # The alert texts of the reconciliation job, word for word.

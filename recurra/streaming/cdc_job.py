@@ -35,7 +35,7 @@ from recurra import schemas
 from recurra.operators import cdc
 from recurra.operators import state as st
 from recurra.functions.calendar import month_start
-from recurra.plans import metrics
+from recurra.plans import metrics, serving
 from recurra.session import checkpoint_root
 from recurra.streaming.versioned import VersionedTable
 
@@ -100,8 +100,8 @@ def merge_partials(records: DataFrame) -> DataFrame:
     return _with_failures(merchants, _since_reset(fails, merchants)).select(*records.columns)
 
 
-def state_view(records: DataFrame) -> DataFrame:
-    """Stored records -> MERCHANT_STATE rows."""
+def state_view(records: DataFrame, failures: bool = True) -> DataFrame:
+    """Stored records -> MERCHANT_STATE rows; without ``failures`` these are not read, and their counter is not counted."""
     merchants = records.filter(F.col("fail").isNull())
     fields = merchants.select("merchant_id", F.col("sub_p.v").alias("sub"), F.col("mer_p.v").alias("mer"),
                               F.col("att_p.v").alias("att"), F.struct(F.col("plan_p.v").alias("plan")).alias("plan_v"),
@@ -110,6 +110,8 @@ def state_view(records: DataFrame) -> DataFrame:
            .agg(F.count_distinct("fail.attempt_id").alias("n")).groupBy("merchant_id").agg(F.sum("n").alias("n")))
     fails = (merchants.filter(F.col("att_p").isNotNull()).select("merchant_id").join(run, "merchant_id", "left")
              .select("merchant_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("nb_echecs_paiement_consecutifs")))
+    if not failures:
+        fails = fails.filter(F.lit(False))      # an empty side, and the join with it, leave the plan
     return st.assemble(fields, fails).select(*[f.name for f in schemas.MERCHANT_STATE.fields])
 
 
@@ -124,6 +126,9 @@ class CdcJob:
     # keep them, so it is off by default). Replays of a whole batch are
     # already exact through the batch_id overwrite.
     dedupe: bool = False
+    # Also drop messages that one of so many batches before had: their digests
+    # are kept per batch, and removed when no batch to come looks at them.
+    dedupe_batches: int = 0
     views: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=lambda: {
         "mrr_current": metrics.mrr_current, "churn_monthly": metrics.churn_monthly})
 
@@ -136,8 +141,10 @@ class CdcJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if self.dedupe:
+        if self.dedupe or self.dedupe_batches:
             batch = batch.dropDuplicates([c for c in batch.columns if c in ("topic", "value")])
+        if self.dedupe_batches:
+            batch = self._first_seen(batch, batch_id)
         envelope = cdc.parse_envelope(batch).persist()   # one JSON parse per message
         cached = [envelope]
         try:
@@ -156,6 +163,23 @@ class CdcJob:
             for c in cached:
                 c.unpersist()
 
+    def _first_seen(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The messages that none of the ``dedupe_batches`` batches before had (T4).
+
+        A batch looks at earlier batches only and writes its digests as a
+        partition of its own, so a replay drops what the first run dropped.
+        """
+        spark, path = batch.sparkSession, self.path("seen")
+        digest = F.unhex(F.sha2(F.concat_ws("\n", F.coalesce("topic", F.lit("")), F.col("value").isNull().cast("string"),
+                                            F.coalesce("value", F.lit(""))), 256))
+        first = batch_id - self.dedupe_batches
+        keyed = batch.withColumn("_message", digest)
+        self._write_batch_partition(keyed.select("_message"), path, batch_id)
+        seen = spark.read.schema("_message binary, batch_id int").parquet(path)
+        _remove_batches(spark, path, first - 1)
+        earlier = seen.filter((F.col("batch_id") >= first) & (F.col("batch_id") < batch_id)).select("_message")
+        return keyed.join(earlier, "_message", "left_anti").drop("_message")
+
     def _state(self, spark: SparkSession) -> VersionedTable:
         state = VersionedTable(spark, self.path("state"), self.path("pointers", "state"), "bucket")
         stored = state.pointer().mark
@@ -254,6 +278,13 @@ class CdcJob:
             return spark.createDataFrame([], schemas.MERCHANT_STATE)
         return state_view(records.filter(F.col("merchant_id") == merchant_id))
 
+    def state_mrr(self, spark: SparkSession) -> DataFrame:
+        """A9 from the stored state; the failure rows, not asked for, are neither counted nor joined."""
+        records = self._state(spark).read()
+        state = spark.createDataFrame([], schemas.MERCHANT_STATE) if records is None else \
+            state_view(records, failures=False)
+        return serving.state_mrr_snapshot(state)
+
     def view(self, spark: SparkSession, name: str) -> DataFrame:
         """K6: the materialized view as the re-aggregation of its partials."""
         p = spark.read.parquet(self.path("partials", name)).drop("batch_id")
