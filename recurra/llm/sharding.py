@@ -9,18 +9,21 @@ bytes, as near as one slot (or one very long record) allows.
 
 Only ids and sizes are shuffled, never texts. The per-slot sums and the map have
 at most ``SLOTS`` rows whatever the data, so the map is edited on the driver and
-broadcast.
+broadcast. Records are placed from the map as it was stored and read again.
 
 Rows: a null text has 0 bytes and is placed like any other. The slot hash takes
-the id and the text's checksum, so null or repeated ids spread out; wholly
-repeated rows share a slot and get places next to each other. An empty table
-gives an empty result and a map that deals the slots round. Other columns are
-not read.
+the id and the text's checksum, so null or repeated ids spread out. Rows that
+repeat id and text are counted before they are shuffled and dealt out again as
+numbered copies, ``BLOCK`` to a task's row; the slot hash takes the number of
+every copy but the first, so that a group of any size spreads over all slots.
+An empty table gives an empty result and a map that deals the slots round. Other
+columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,9 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recurra.llm.common import cut
+from recurra.session import checkpoint_root
 
 SLOTS = 4096
 RECORD_OVERHEAD = 8
+BLOCK = 4096        # copies of one repeated row that are numbered together
 
 MAP_SCHEMA = T.StructType([
     T.StructField("virtual_slot", T.IntegerType(), False),
@@ -50,11 +55,32 @@ def checksum(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def slot_of(slots: int) -> Column:
+    """Virtual slot of a record with doc_id, text_crc32 and copy (its number among the repeats, from 0)."""
+    first, later = F.xxhash64("doc_id", "text_crc32"), F.xxhash64("doc_id", "text_crc32", "copy")
+    return F.pmod(F.when(F.col("copy") == 0, first).otherwise(later), F.lit(slots)).cast("int")
+
+
+def copies(counted: DataFrame, first: str | None = None) -> DataFrame:
+    """Every row of ``counted`` as often as its column ``n`` says, with ``copy`` from ``first`` (0) on.
+
+    The blocks of a much repeated row are dealt to all tasks before they are spread out. The number of
+    tasks is named, as adaptive coalescing would judge them by the size of the blocks, not of their rows.
+    """
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    begin = F.lit(0).cast("long") if first is None else F.col(first)
+    last = F.least((F.col("block") + 1) * BLOCK, F.col("n")) - 1
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))))
+    return (blocks.repartition(tasks, "doc_id", "text_crc32", "block")
+            .withColumn("copy", F.explode(F.sequence(F.col("block") * BLOCK + begin, last + begin))).drop("n", "block"))
+
+
 def records(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and virtual_slot of every record."""
     t = F.col(text)
-    return (docs.select(F.col(doc_id).alias("doc_id"), size_of(t).alias("size"), checksum(t).alias("text_crc32"))
-            .withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int")))
+    counted = (docs.select(F.col(doc_id).alias("doc_id"), size_of(t).alias("size"), checksum(t).alias("text_crc32"))
+               .groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")))
+    return copies(counted).withColumn("virtual_slot", slot_of(slots)).drop("copy")
 
 
 @dataclass(frozen=True)
@@ -146,15 +172,26 @@ def rebalance(old: SlotMap, shards: int, size: tuple[int, ...] | None = None,
 def save_map(spark: SparkSession, slot_map: SlotMap, root: str) -> None:
     """Store a version under ``root``; versions are written once and never changed."""
     (slot_map.frame(spark).withColumn("shards", F.lit(slot_map.shards)).coalesce(1)
-     .write.mode("errorifexists").parquet(f"{root}/version={slot_map.version}"))
+     .write.mode("errorifexists" if slot_map.version in versions(spark, root) else "overwrite")
+     .parquet(f"{root}/version={slot_map.version}"))
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The versions stored under ``root``, in order; a folder without its one file is of a write that did not end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    folders = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName().startswith("version=")]
+    done = [f for f in folders if any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(f))]
+    return sorted(int(f.getName().split("=")[1]) for f in done)
 
 
 def load_map(spark: SparkSession, root: str, version: int | None = None) -> SlotMap:
     """A stored version, the latest by default."""
-    maps = spark.read.parquet(root)
     if version is None:
-        version = maps.agg(F.max("version")).first()[0]
-    found = maps.where(F.col("version") == version).orderBy("virtual_slot").collect()
+        version = versions(spark, root)[-1]
+    found = spark.read.parquet(f"{root}/version={version}").orderBy("virtual_slot").collect()     # one row a slot
     return SlotMap(version, found[0]["shards"], tuple(r["shard"] for r in found),
                    tuple(r["slot_bytes"] for r in found), tuple(r["slot_rows"] for r in found))
 
@@ -175,19 +212,37 @@ def place(recs: DataFrame, slot_map: SlotMap) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_id",
                     slots: int = SLOTS, map_root: str | None = None) -> DataFrame:
-    """Place all documents; the map's first version is stored under ``map_root`` if one is given."""
+    """Place all documents by the map's next version, stored under ``map_root`` and read from there.
+
+    Where ``map_root`` holds versions already, the latest is edited for the sizes and
+    shards of now, so that few slots move. Without one, version 1 goes to a new folder
+    under the shared checkpoint folder.
+    """
+    spark = docs.sparkSession
+    root = map_root or f"{checkpoint_root(spark)}/llm/shard-map-{uuid.uuid4().hex}"
     recs = cut(records(docs, text, doc_id, slots), "shard-records")
-    slot_map = first_map(recs, shards, slots)
-    if map_root:
-        save_map(docs.sparkSession, slot_map, map_root)
-    return place(recs, slot_map).withColumn("map_version", F.lit(slot_map.version))
+    if versions(spark, root):
+        slot_map = rebalance(load_map(spark, root), shards, *slot_sums(recs, slots))
+    else:
+        slot_map = first_map(recs, shards, slots)
+    save_map(spark, slot_map, root)
+    stored = load_map(spark, root, slot_map.version)
+    return place(recs, stored).withColumn("map_version", F.lit(stored.version))
 
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, path: str, text: str = "text", doc_id: str = "doc_id") -> None:
-    """Write the documents, each whole as a struct ``document``, into one folder per shard, in slot order."""
+    """Write the documents, each whole as a struct ``document``, into one folder per shard, in slot order.
+
+    Whole rows that repeat are counted before the shuffle; rows that repeat id and text alone are numbered on from
+    one another. So the shards hold the records that ``place`` puts there. Columns of maps cannot be grouped.
+    """
     slots = len(slot_map.shard)
     table = slot_map.frame(docs.sparkSession).select("virtual_slot", "shard")
-    slot = F.pmod(F.xxhash64(F.col(doc_id), checksum(F.col(text))), F.lit(slots)).cast("int")
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), slot.alias("virtual_slot"))
+    whole = docs.select(F.col(doc_id).alias("doc_id"), checksum(F.col(text)).alias("text_crc32"), size_of(F.col(text)).alias("size"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    counted = whole.groupBy(*whole.columns).agg(F.count("*").alias("n"))
+    alike = Window.partitionBy("doc_id", "text_crc32", "size").orderBy("document")
+    counted = counted.withColumn("first", F.coalesce(F.sum("n").over(alike.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    held = copies(counted, "first").withColumn("virtual_slot", slot_of(slots)).select("document", "virtual_slot")
     (held.join(F.broadcast(table), "virtual_slot").repartition("virtual_slot")
      .sortWithinPartitions("shard", "virtual_slot").write.partitionBy("shard").parquet(path))
