@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,7 +62,7 @@ def slot_of(slots: int) -> Column:
     return F.pmod(F.when(F.col("copy") == 0, first).otherwise(later), F.lit(slots)).cast("int")
 
 
-def copies(counted: DataFrame, first: str | None = None) -> DataFrame:
+def copies(counted: DataFrame, first: str | None = None, keys: Sequence[str] = ("doc_id", "text_crc32")) -> DataFrame:
     """Every row of ``counted`` as often as its column ``n`` says, with ``copy`` from ``first`` (0) on.
 
     The blocks of a much repeated row are dealt to all tasks before they are spread out. The number of
@@ -71,7 +72,7 @@ def copies(counted: DataFrame, first: str | None = None) -> DataFrame:
     begin = F.lit(0).cast("long") if first is None else F.col(first)
     last = F.least((F.col("block") + 1) * BLOCK, F.col("n")) - 1
     blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))))
-    return (blocks.repartition(tasks, "doc_id", "text_crc32", "block")
+    return (blocks.repartition(tasks, *keys, "block")
             .withColumn("copy", F.explode(F.sequence(F.col("block") * BLOCK + begin, last + begin))).drop("n", "block"))
 
 
