@@ -451,14 +451,14 @@ def q_state_mrr_stored(spark, sf):
 @register("dead_letter_streamed")
 def q_dead_letter_streamed(spark, sf):
     """The dead letters that the streaming job wrote."""
-    dead = spark.read.parquet(_streamed(spark, sf).path("dead_letter"))
+    dead = _streamed(spark, sf).side(spark, "dead_letter")
     return dead.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 @register("deletes_streamed")
 def q_deletes_streamed(spark, sf):
     """The deletes that the streaming job wrote."""
-    return spark.read.parquet(_streamed(spark, sf).path("deletes")).select(
+    return _streamed(spark, sf).side(spark, "deletes").select(
         F.col("table").alias("source_table"), "op", cdc.entity_key(F.col("table"), F.col("before")).alias("entity_id"), "ts_ms")
 
 
@@ -472,6 +472,36 @@ def q_churn_monthly_streamed(spark, sf):
     return _streamed(spark, sf).view(spark, "churn_monthly")
 
 
+@register("mrr_current_latest_stored")
+def q_mrr_current_latest_stored(spark, sf):
+    """The view of the latest versions, kept by signed deltas."""
+    return _streamed(spark, sf).view(spark, "mrr_current_latest")
+
+
+@register("churn_monthly_latest_stored")
+def q_churn_monthly_latest_stored(spark, sf):
+    return _streamed(spark, sf).view(spark, "churn_monthly_latest")
+
+
+@register("failed_payment_rate_stored")
+def q_failed_payment_rate_stored(spark, sf):
+    """Rates as ratios of stored sums."""
+    return _streamed(spark, sf).view(spark, "failed_payment_rate_corrected")
+
+
+@register("last_invoices_stored")
+def q_last_invoices_stored(spark, sf):
+    """L2 for all merchants, from the rows that the streaming job keeps for each."""
+    return _streamed(spark, sf).last_rows(spark, "invoices").select(
+        "merchant_id", "rang", "invoice_id", "subscription_id", "montant_cad", "statut", "date_emission")
+
+
+@register("merchant_invoices_stored")
+def q_merchant_invoices_stored(spark, sf):
+    """L2 for one merchant: one bucket is read."""
+    return _streamed(spark, sf).merchant_invoices(spark, LOOKUP_MERCHANT)
+
+
 @register("subscriptions_stream_streamed")
 def q_subscriptions_stream_streamed(spark, sf):
     """The event log that the streaming job wrote, whole."""

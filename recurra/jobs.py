@@ -6,7 +6,7 @@ stream     the CDC streaming job over a directory of topic files (K1, K2, K6)
 billing    the billing transitions for a day, written as change sets (B1-B6)
 load-book  fill a versioned book with the operational tables as of a day
 billing-day  all billing rules of a day, folded per key and merged into the book
-compact    rewrite closed batches of the streaming job's logs into months
+compact    rewrite closed batches of the streaming job's logs into months, of its side logs and views into spans
 
 ``register_metric_views`` registers the metric views in a session (K5).
 
@@ -54,7 +54,7 @@ def run_reconciliation(spark: SparkSession, stream_path: str, batch_path: str, l
     inside = "/logs/subscriptions_stream"
     root = stream_path.rstrip("/").removesuffix(inside)
     of_job = root != stream_path.rstrip("/") or _is_job(spark, root)
-    streamed = read_log(spark, root, "subscriptions_stream") if of_job else spark.read.parquet(stream_path)
+    streamed = CdcJob(root).log(spark, "subscriptions_stream", until=as_of) if of_job else spark.read.parquet(stream_path)
     status = reconcile.reconciliation_status(streamed, spark.read.parquet(batch_path), as_of)
     row = reconcile.log_row(status).cache()
     try:
@@ -121,8 +121,11 @@ def load_book(spark: SparkSession, book: str, logs: str, merchants_path: str, as
 
 
 def run_compaction(spark: SparkSession, root: str, through_batch: int) -> None:
+    job = CdcJob(root)
     for table in schemas.LOG_TABLES.values():
-        CdcJob(root).compact(spark, table, through_batch)
+        job.compact(spark, table, through_batch)
+    for name in job.side_logs():
+        job.compact_side(spark, name, through_batch)
 
 
 def register_metric_views(spark: SparkSession, logs: str) -> None:

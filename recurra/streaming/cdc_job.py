@@ -10,7 +10,15 @@ once (persisted) and fanned out to
     by the batch are read, merged and written anew, as a version that a
     pointer then names (``streaming.versioned``);
   * per-batch partial aggregates of the materialized views (K6), whose
-    re-aggregation equals the direct aggregate over the log.
+    re-aggregation equals the direct aggregate over the log; views of the latest
+    versions by signed deltas against the current versions ``<out>/current-N``;
+  * the last invoices of every merchant (L2) ``<out>/last-N``, in the merchant's
+    bucket (both in ``streaming.views``).
+
+Tables beside the state are versioned too. The current versions are marked with
+the last batch merged into them: its deltas were written before, so a replay of
+that batch or of an earlier one leaves both as they are. A view or last-rows
+table has to be declared from the first batch on.
 
 The state merge is commutative, associative and idempotent: each field group
 keeps its value with its order key (max wins), and the failure counter keeps the
@@ -23,7 +31,7 @@ and salt of the attempt, so that a hot merchant's rows go to ``SALTS`` tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,12 +42,17 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from recurra import schemas
 from recurra.operators import cdc
 from recurra.operators import state as st
-from recurra.functions.calendar import month_start
-from recurra.plans import metrics, serving
+from recurra.operators.latest import latest_version
+from recurra.functions.calendar import month_start, not_after_day
+from recurra.plans import serving
 from recurra.session import checkpoint_root
+from recurra.streaming import views as sv
 from recurra.streaming.versioned import VersionedTable
 
 STATE_BUCKETS = 64
+SPAN = 1000             # batches that a partition of a compacted side log holds
+UNTIMED = "__HIVE_DEFAULT_PARTITION__"
+LAST_INVOICES = sv.LastRows("invoices_stream", "merchant_id", "invoice_id", "date_emission", serving.INVOICE_ORDER, 12)
 
 
 # ------------------------------------------------------------------ state record
@@ -129,8 +142,13 @@ class CdcJob:
     # Also drop messages that one of so many batches before had: their digests
     # are kept per batch, and removed when no batch to come looks at them.
     dedupe_batches: int = 0
-    views: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=lambda: {
-        "mrr_current": metrics.mrr_current, "churn_monthly": metrics.churn_monthly})
+    views: dict[str, sv.StoredView] = field(default_factory=sv.stored_views)
+    last: dict[str, sv.LastRows] = field(default_factory=lambda: {"invoices": LAST_INVOICES})
+
+    def __post_init__(self):
+        followed = {(v.table, v.latest) for v in self.views.values() if v.latest}
+        if len(followed) > len({t for t, _ in followed}):
+            raise ValueError("views of one log have to agree on its latest version")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.out.rstrip("/"), *parts])
@@ -155,8 +173,13 @@ class CdcJob:
                 self._write_batch_partition(rows, self.path("logs", name), batch_id)
             self._write_batch_partition(routed.dead_letter, self.path("dead_letter"), batch_id)
             self._write_batch_partition(routed.deletes, self.path("deletes"), batch_id)
-            for view, fn in self.views.items():
-                self._write_batch_partition(fn(routed.logs["subscriptions_stream"]), self.path("partials", view), batch_id)
+            for name, view in self.views.items():
+                if not view.latest:
+                    self._write_batch_partition(view.partials(routed.logs[view.table]), self.path("partials", name), batch_id)
+            for table, latest in {v.table: v.latest for v in self.views.values() if v.latest}.items():
+                self._follow(spark, routed.logs[table].drop("cdc_timestamp"), table, latest, batch_id)
+            for name, last in self.last.items():
+                self._merge_last(spark, routed.logs[last.table].drop("cdc_timestamp"), name, last)
             events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
             self._merge_state(spark, events)
         finally:
@@ -206,6 +229,49 @@ class CdcJob:
         finally:
             new.unpersist()
 
+    # ---------------------------------------------------------------- views of latest versions, last rows
+
+    def _bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _bucketed(self, spark: SparkSession, kind: str, name: str) -> VersionedTable:
+        folder = f"{kind}-{self.buckets}"
+        return VersionedTable(spark, self.path(folder, name), self.path("pointers", folder, name), "bucket")
+
+    @staticmethod
+    def _touched(rows: DataFrame) -> list[str]:
+        return [f"bucket={r.bucket}" for r in rows.select("bucket").distinct().collect()]      # <= buckets ints
+
+    def _follow(self, spark: SparkSession, batch: DataFrame, table: str, latest: sv.Latest, batch_id: int) -> None:
+        """Merge a batch into the current versions of a log, and write its signed partials of the latest views."""
+        current = self._bucketed(spark, "current", table)
+        mark = current.pointer().mark
+        if mark is not None and mark >= batch_id:
+            return                                  # a replay: the deltas were written before the mark
+        batch = batch.withColumn("bucket", self._bucket(latest.key))
+        touched = self._touched(batch)
+        if not touched:
+            return
+        versions = sv.replaced(batch, current.read(touched), latest).persist()
+        try:
+            delta = sv.signed(versions)
+            for name, view in self.views.items():
+                if view.latest and view.table == table:
+                    self._write_batch_partition(view.partials(delta), self.path("partials", name), batch_id)
+            current.replace(versions.select("now.*").hint("rebalance", "bucket"), batch_id)
+        finally:
+            versions.unpersist()
+
+    def _merge_last(self, spark: SparkSession, batch: DataFrame, name: str, last: sv.LastRows) -> None:
+        batch = batch.filter(F.col(last.owner).isNotNull())
+        touched = self._touched(batch.select(self._bucket(last.owner).alias("bucket")))
+        if not touched:
+            return
+        stored = self._bucketed(spark, "last", name)
+        old = stored.read(touched)
+        parts = [batch] if old is None else [batch, old.select(*batch.columns)]
+        stored.replace(last.merge(parts).withColumn("bucket", self._bucket(last.owner)).hint("rebalance", "bucket"))
+
     def start(self, source: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
               name: str = "cdc_job") -> StreamingQuery:
         spark = source.sparkSession
@@ -244,25 +310,83 @@ class CdcJob:
         if through_batch <= done:
             _remove_batches(spark, self.path("logs", table), done)     # left by a crash
             return
-        ts = "created_at" if table == "payment_attempts_stream" else "updated_at"
+        ts = _log_time(table)
         fresh = (self._read_log(spark, table)
                  .filter((F.col("batch_id") > done) & (F.col("batch_id") <= through_batch))
                  .withColumn("mois", month_start(ts)))
         months = [r.mois for r in fresh.select("mois").distinct().collect()]   # calendar-bounded
         comp = self._compacted(spark, table)
-        old = comp.read([f"mois={'__HIVE_DEFAULT_PARTITION__' if m is None else m}" for m in months])
+        old = comp.read([f"mois={UNTIMED if m is None else m}" for m in months])
         parts = [fresh] if old is None else [fresh, old.withColumn("mois", F.col("mois").cast("date")).select(*fresh.columns)]
-        comp.replace(_union(parts).hint("rebalance", "mois"), through_batch)
+        # rows of a month lie by key, so that a read of some keys skips row groups
+        rows = _union(parts).hint("rebalance", "mois").sortWithinPartitions("mois", _log_key(table))
+        comp.replace(rows, through_batch)
         _remove_batches(spark, self.path("logs", table), through_batch)
 
+    def _side(self, spark: SparkSession, name: str) -> VersionedTable:
+        return VersionedTable(spark, self.path("compacted", name), self.path("pointers", name), "span")
+
+    def _fresh_side(self, spark: SparkSession, name: str, after: int) -> DataFrame | None:
+        path = self.path(*name.split("/"))
+        if not _batches(spark, path):
+            return None
+        return spark.read.parquet(path).filter(F.col("batch_id") > after)
+
+    def side_logs(self) -> list[str]:
+        return ["dead_letter", "deletes", *[f"partials/{v}" for v in self.views]]
+
+    def compact_side(self, spark: SparkSession, name: str, through_batch: int) -> None:
+        """Rewrite the closed batches of a side log, or of a view's partials, into partitions of ``SPAN`` batches.
+
+        As ``compact``: new partitions and watermark change together, and only then are
+        batch folders removed. Partials of a key are merged, so that a view stays as large as
+        its keys; other rows are kept as they are.
+        """
+        side = self._side(spark, name)
+        mark = side.pointer().mark
+        done, path = -1 if mark is None else mark, self.path(*name.split("/"))
+        fresh = self._fresh_side(spark, name, done) if through_batch > done else None
+        if fresh is not None:
+            fresh = fresh.filter(F.col("batch_id") <= through_batch).withColumn(
+                "span", F.floor(F.col("batch_id") / SPAN).cast("int"))
+            spans = [f"span={s}" for s in range(max(done, 0) // SPAN, through_batch // SPAN + 1)]
+            old = side.read(spans)
+            rows = fresh if old is None else fresh.unionByName(old.select(*fresh.columns))
+            if name.startswith("partials/"):
+                batch = F.least(F.col("span") * SPAN + SPAN - 1, F.lit(through_batch)).cast("int").alias("batch_id")
+                merged = self.views[name.split("/", 1)[1]].merge(rows, "span")
+                rows = merged.select(*[c for c in rows.columns if c not in ("span", "batch_id")], batch, "span")
+            side.replace(rows.hint("rebalance", "span"), through_batch)
+        mark = side.pointer().mark
+        _remove_batches(spark, path, -1 if mark is None else mark)
+
     # ---------------------------------------------------------------- readers
 
-    def log(self, spark: SparkSession, table: str) -> DataFrame:
-        """The event log: compacted months plus the batches written since."""
+    def side(self, spark: SparkSession, name: str) -> DataFrame | None:
+        """A side log or the partials of a view: compacted spans plus the batches since; None where nothing was written."""
+        side = self._side(spark, name)
+        mark = side.pointer().mark
+        fresh, old = self._fresh_side(spark, name, -1 if mark is None else mark), side.read()
+        if fresh is None or old is None:
+            return fresh if old is None else old.drop("span")
+        return fresh.unionByName(old.select(*fresh.columns))
+
+    def log(self, spark: SparkSession, table: str, until: dt.date | str | None = None) -> DataFrame:
+        """The event log: compacted months plus the batches written since.
+
+        With ``until``, the rows timed on that day or before: later months and the
+        rows without a time, a month of their own, are not read.
+        """
         done = self._compacted_through(spark, table)
         fresh = self._read_log(spark, table).filter(F.col("batch_id") > done)
-        compacted = self._compacted(spark, table).read()
-        return fresh if compacted is None else fresh.unionByName(compacted.select(*fresh.columns))
+        comp, months = self._compacted(spark, table), None
+        if until is not None:
+            last = str(until)[:7]
+            held = [p for p in comp.pointer().versions if not p.endswith(UNTIMED)]
+            months = [p for p in held if p.removeprefix("mois=")[:7] <= last]
+        compacted = comp.read(months)
+        rows = fresh if compacted is None else fresh.unionByName(compacted.select(*fresh.columns))
+        return rows if until is None else rows.filter(not_after_day(_log_time(table), until))
 
     def merchant_state(self, spark: SparkSession) -> DataFrame:
         records = self._state(spark).read()
@@ -286,12 +410,48 @@ class CdcJob:
         return serving.state_mrr_snapshot(state)
 
     def view(self, spark: SparkSession, name: str) -> DataFrame:
-        """K6: the materialized view as the re-aggregation of its partials."""
-        p = spark.read.parquet(self.path("partials", name)).drop("batch_id")
-        keys = [c for c in p.columns if c not in ("nb_abonnements", "nb_subscriptions", "mrr_cad")]
-        counts = [c for c in p.columns if c in ("nb_abonnements", "nb_subscriptions")]
-        return p.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts],
-                                    F.sum("mrr_cad").cast("decimal(20,2)").alias("mrr_cad"))
+        """K6: the materialized view as the merge of its partials."""
+        view, partials = self.views[name], self.side(spark, f"partials/{name}")
+        if partials is None:
+            log = spark.createDataFrame([], self._log_schema(view.table))
+            partials = view.partials(log.withColumn("sign", F.lit(1)))
+        return view.finish(partials)
+
+    def _log_owners(self, spark: SparkSession, last: sv.LastRows, owners: DataFrame) -> DataFrame:
+        """Current rows of some owners, from the log: their rows' keys first, as a version may name another owner."""
+        log = self.log(spark, last.table)
+        named = log.join(owners.select(last.owner), last.owner, "left_semi").select(last.key).distinct()
+        current = latest_version(log.join(named, last.key, "left_semi"), last.key, list(last.order))
+        return current.join(owners.select(last.owner), last.owner, "left_semi")
+
+    def last_rows(self, spark: SparkSession, name: str, owner: str | None = None) -> DataFrame:
+        """L2: the first rows of every owner, or of one (whose bucket alone is read), numbered by ``rang``.
+
+        Owners whose rows changed rank are read from the log; where there are none, the log is not read.
+        """
+        last = self.last[name]
+        part = None
+        if owner is not None:
+            bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(owner)), F.lit(self.buckets))).first()[0]
+            part = [f"bucket={bucket}"]
+        schema = self._log_schema(last.table)
+        columns = [c for c in schema.names if c not in ("cdc_timestamp", "batch_id")]
+        stored = self._bucketed(spark, "last", name).read(part)
+        if stored is None:
+            return last.first(spark.createDataFrame([], schema).select(*columns))
+        if owner is not None:
+            stored = stored.filter(F.col(last.owner) == owner)
+        noted = stored.filter(F.col(last.key).isNull()).select(last.owner)
+        rows = stored.filter(F.col(last.key).isNotNull()).select(*columns)
+        if not noted.isEmpty():
+            rows = rows.join(noted, last.owner, "left_anti").select(*columns).unionByName(
+                self._log_owners(spark, last, noted).select(*columns))
+        return last.first(rows)
+
+    def merchant_invoices(self, spark: SparkSession, merchant_id: str) -> DataFrame:
+        """The last invoices of one merchant, from its bucket."""
+        rows = self.last_rows(spark, "invoices", merchant_id)
+        return rows.select(*[f.name for f in schemas.INVOICES.fields])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -301,14 +461,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _remove_batches(spark: SparkSession, path: str, through_batch: int) -> None:
-    """Delete ``batch_id=N`` directories with N <= through_batch (already compacted)."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
+def _log_time(table: str) -> str:
+    return "created_at" if table == "payment_attempts_stream" else "updated_at"
+
+
+def _log_key(table: str) -> str:
+    return next(schemas.TABLES[t][1] for t, log in schemas.LOG_TABLES.items() if log == table)
+
+
+def _batches(spark: SparkSession, path: str) -> list:
+    """The ``batch_id=N`` directories of a folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return
-    for st_ in fs.listStatus(root):
-        name = st_.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= through_batch:
-            fs.delete(st_.getPath(), True)
+        return []
+    return [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+
+
+def _remove_batches(spark: SparkSession, path: str, through_batch: int) -> None:
+    """Delete ``batch_id=N`` directories with N <= through_batch (already compacted)."""
+    for folder in _batches(spark, path):
+        if int(folder.getName().split("=", 1)[1]) <= through_batch:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

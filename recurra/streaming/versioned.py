@@ -3,8 +3,8 @@
 New partitions go to a folder of their own, ``version=<v>/<column>=<value>``.
 Then a pointer is written: one row per partition with the version that holds
 it, and a mark of the writer's. Readers take the last pointer whose write ended
-(its folder has the committer's ``_SUCCESS``) and read exactly the folders that
-it names. So a crash at any step leaves the table as the last pointer describes
+(its folder has a marker file, set after the write; a committer's ``_SUCCESS``
+counts too, but is not relied on) and read exactly the folders that it names. So a crash at any step leaves the table as the last pointer describes
 it, a rerun writes a new version, and running readers keep their files: only
 what neither the last two pointers name is removed.
 
@@ -20,6 +20,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+ENDED = "_ENDED"
+
+
 class Pointer(NamedTuple):
     seq: int
     versions: dict[str, str]      # partition folder -> version
@@ -53,8 +56,7 @@ class VersionedTable:
         """Numbers of the pointers whose write ended, in order."""
         out = []
         for name in self._names(self.pointers, "seq="):
-            fs, done = self._folder(f"{self.pointers}/{name}/_SUCCESS")
-            if fs.exists(done):
+            if any(fs.exists(done) for fs, done in (self._folder(f"{self.pointers}/{name}/{m}") for m in (ENDED, "_SUCCESS"))):
                 out.append(int(name[4:]))
         return sorted(out)
 
@@ -71,6 +73,8 @@ class VersionedTable:
         rows = [(None, None, pointer.mark), *((p, v, None) for p, v in sorted(pointer.versions.items()))]
         (self.spark.createDataFrame(rows, "part string, version string, mark bigint").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.pointers}/seq={pointer.seq}"))
+        fs, done = self._folder(f"{self.pointers}/seq={pointer.seq}/{ENDED}")
+        fs.create(done, True).close()
 
     # ---------------------------------------------------------------- table
 
