@@ -173,19 +173,31 @@ class CdcJob:
                 self._write_batch_partition(rows, self.path("logs", name), batch_id)
             self._write_batch_partition(routed.dead_letter, self.path("dead_letter"), batch_id)
             self._write_batch_partition(routed.deletes, self.path("deletes"), batch_id)
+            # the rows just written: their plan is a scan, not the whole decoding
+            wanted = {v.table for v in (*self.views.values(), *self.last.values())}
+            written = {t: self._written(spark, t, batch_id) for t in wanted}
             for name, view in self.views.items():
                 if not view.latest:
-                    self._write_batch_partition(view.partials(routed.logs[view.table]), self.path("partials", name), batch_id)
+                    self._write_batch_partition(view.partials(written[view.table]), self.path("partials", name), batch_id)
             for table, latest in {v.table: v.latest for v in self.views.values() if v.latest}.items():
-                self._follow(spark, routed.logs[table].drop("cdc_timestamp"), table, latest, batch_id)
+                self._follow(spark, written[table], table, latest, batch_id)
             for name, last in self.last.items():
-                self._merge_last(spark, routed.logs[last.table].drop("cdc_timestamp"), name, last)
+                self._merge_last(spark, written[last.table], name, last)
             events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
             self._merge_state(spark, events)
         finally:
             for c in cached:
                 c.unpersist()
 
+    def _written(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
+        """The log rows of a batch, as written; none where it has no folder."""
+        folder = self.path("logs", table, f"batch_id={batch_id}")
+        schema = StructType([f for f in self._log_schema(table).fields if f.name not in ("cdc_timestamp", "batch_id")])
+        there = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(folder)
+
     def _first_seen(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """The messages that none of the ``dedupe_batches`` batches before had (T4).
 
