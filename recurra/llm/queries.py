@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurra.llm import (collocations, decontamination, language_id, mixing, quality_rules, rule_ensemble, secret_scan,
@@ -56,9 +56,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base counts and digest, and all spans."""
     found = secret_scan.scan(documents(spark, sf_dir), keep=["doc_id"], column="found")
     base = F.filter("found", lambda s: s["kind"] < 3)
-    count = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-             for k, name in enumerate(secret_scan.KINDS[:3])]
-    return found.select("doc_id", *count, F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
+
+    def count(kind: int, name: str) -> Column:      # a default argument of the lambda would be filled with the index
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{name}")
+
+    counts = [count(k, name) for k, name in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
                         secret_scan.digest(F.col("found")).alias("spans"))
 
 
