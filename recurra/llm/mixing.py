@@ -152,6 +152,27 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
             .select("doc_id", "text_hash", "source", "repeat", "nth", "size", "source_size", "target", "taken", "copies"))
 
 
+def places(planned: DataFrame) -> DataFrame:
+    """The rows of ``plan`` with ``places``: where each copy stands in training order, counted from 0, in the order of ``copies``.
+
+    All copies are sorted by range of training position, and numbered in ranges. Copies due at the
+    same time stand by doc_id, text_hash, source and repeat.
+    """
+    row = ["doc_id", "text_hash", "source", "repeat"]
+    due_at = [F.col("position"), *[F.col(c).asc_nulls_last() for c in row], F.col("copy")]
+    each = _in_ranges(planned.select(*row, F.posexplode("copies.position").alias("copy", "position")), due_at, "mix-order")
+    numbered = (each.join(F.broadcast(_before(each, earlier=F.count("*"))), "part")
+                .withColumn("place", F.col("earlier") + F.row_number().over(Window.partitionBy("part").orderBy(*due_at)) - 1))
+    held = [F.col(c) for c in planned.columns if c not in row]
+    # rows and their copies meet in one grouping, where null keys are equal; every group has one row of ``planned``
+    both = (planned.select(*row, F.struct(*held).alias("held"), F.lit(None).cast("struct<copy:int,place:bigint>").alias("at"))
+            .unionByName(numbered.select(*row, F.lit(None).cast(planned.select(F.struct(*held)).schema[0].dataType).alias("held"),
+                                         F.struct("copy", "place").alias("at"))))
+    met = both.groupBy(*row).agg(F.first("held", ignorenulls=True).alias("held"), F.array_sort(F.collect_list("at")).alias("at"))
+    return met.select(*[F.col(c) if c in row else F.col(f"held.{c}").alias(c) for c in planned.columns],
+                      F.col("at.place").alias("places"))
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """The mixed documents in training order: the columns unchanged, one row per copy taken.
 

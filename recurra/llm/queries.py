@@ -88,10 +88,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document, and the position of its first copy."""
-    planned = mixing.plan(documents(spark, sf_dir))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", "source",
-                          F.size("copies").alias("n_copies"), F.get("copies", F.lit(0))["position"].alias("position"))
+    """Words that the mix takes of every document, and where its copies stand in training order."""
+    mixed = mixing.places(mixing.plan(documents(spark, sf_dir)))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", F.size("copies").alias("n_copies"),
+                        F.get("copies", F.lit(0))["position"].alias("position"), "places")
 
 
 def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
