@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # Text that is a number: decimal digits with an optional point and exponent, or a named one.
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
+# Characters of base64 that no decimal number has.
+NO_NUMBER = r"[A-DF-Za-df-z/=]"
+
 
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -41,7 +44,8 @@ def decode_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Colu
     """
     c = _c(c)
     target = f"decimal({precision},{scale})"
-    as_number = c.try_cast(target)
+    # a failed cast costs an exception: text with one of these characters is no number for it
+    as_number = F.when(~c.rlike(NO_NUMBER), c.try_cast(target))
     h = F.hex(F.try_to_binary(c, F.lit("base64")))
     sign_fill = F.when(F.substring(h, 1, 1) >= F.lit("8"), F.lit("F")).otherwise(F.lit("0"))
     # two 64-bit halves, the upper one signed; the sum is null beyond 38 digits

@@ -26,6 +26,10 @@ BASE_CONF = {
 # decoder it dominates planning time (PruneFilters) and buys nothing here.
 RUNTIME_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
+    # HotSpot never compiles a method of more than 8,000 bytes of code: above it,
+    # a fused stage would be interpreted row by row. Spark then runs the stage's
+    # operators apart, their expressions split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
