@@ -17,8 +17,9 @@ from recurra.operators import billing, cdc
 from recurra.operators import state as st
 from recurra.operators.latest import latest_version
 from recurra.plans import metrics, reconcile, serving
-from recurra.session import tune
+from recurra.session import checkpoint_root, tune
 from recurra.sources import snapshot
+from recurra.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,7 +236,10 @@ def q_cdc_log_faulty(spark, sf):
 @register("merchant_state_faulty")
 def q_merchant_state_faulty(spark, sf):
     """The state takes every change that names a merchant, also those that the log refuses."""
-    return st.merchant_state(*[_routed(spark, sf).state[t] for t in cdc.STATE_TABLES])
+    envelope = cdc.parse_envelope(fx.faulty_messages(spark, sf))
+    # read more than once below: parsed once, and written
+    judged = staged(cdc.judge(envelope).filter("to_state"), f"{checkpoint_root(spark)}/staged")
+    return st.merchant_state(*[cdc.route(envelope, judged).state[t] for t in cdc.STATE_TABLES])
 
 
 # ---------------------------------------------------------------- merchant state, serving
@@ -365,7 +369,6 @@ def _book(spark: SparkSession, sf: str):
     from uuid import uuid4
 
     from recurra.plans.billing_book import BillingBook
-    from recurra.session import checkpoint_root
 
     key = (spark.sparkContext.applicationId, id(spark), sf.rstrip("/"))
     if key not in _BOOKS:
@@ -414,7 +417,6 @@ def _streamed(spark: SparkSession, sf: str):
     results are checked against the batch oracles."""
     from uuid import uuid4
 
-    from recurra.session import checkpoint_root
     from recurra.sources.cdc_source import read_cdc_files, write_cdc_files
     from recurra.streaming.cdc_job import CdcJob
 

@@ -1,7 +1,7 @@
 """The streaming CDC job.
 
 One Structured Streaming query reads all topics; each micro-batch is decoded
-once (persisted) and fanned out to
+once (into files below ``<out>/staging``, as long as it runs) and fanned out to
   * the event logs ``<out>/logs/<table>_stream`` plus ``dead_letter`` and
     ``deletes``, partitioned by ``batch_id`` and written with dynamic partition
     overwrite, so a replayed batch rewrites exactly its own rows (K1, T4);
@@ -46,6 +46,7 @@ from recurra.operators.latest import latest_version
 from recurra.functions.calendar import month_start, not_after_day
 from recurra.plans import serving
 from recurra.session import checkpoint_root
+from recurra.sources.staging import remove, staged
 from recurra.streaming import views as sv
 from recurra.streaming.versioned import VersionedTable
 
@@ -163,12 +164,10 @@ class CdcJob:
             batch = batch.dropDuplicates([c for c in batch.columns if c in ("topic", "value")])
         if self.dedupe_batches:
             batch = self._first_seen(batch, batch_id)
-        envelope = cdc.parse_envelope(batch).persist()   # one JSON parse per message
-        cached = [envelope]
+        remove(spark, self.path("staging"))              # left by a crash
         try:
-            labelled = {t: cdc.label(envelope, t).persist() for t in schemas.TABLES}
-            cached += labelled.values()
-            routed = cdc.route(envelope, labelled)
+            envelope = cdc.parse_envelope(batch)
+            routed = cdc.route(envelope, self._staged(cdc.judge(envelope)))      # each message is parsed once
             for name, rows in routed.logs.items():
                 self._write_batch_partition(rows, self.path("logs", name), batch_id)
             self._write_batch_partition(routed.dead_letter, self.path("dead_letter"), batch_id)
@@ -186,8 +185,11 @@ class CdcJob:
             events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
             self._merge_state(spark, events)
         finally:
-            for c in cached:
-                c.unpersist()
+            remove(spark, self.path("staging"))
+
+    def _staged(self, df: DataFrame) -> DataFrame:
+        """A table that a batch reads more than once, in files: executors hold none of it, however long the batch."""
+        return staged(df, self.path("staging"))
 
     def _written(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         """The log rows of a batch, as written; none where it has no folder."""
@@ -226,20 +228,17 @@ class CdcJob:
         return VersionedTable(spark, self.path("compacted", table), self.path("pointers", table), "mois")
 
     def _merge_state(self, spark: SparkSession, events: DataFrame) -> None:
-        new = state_partials(events, self.buckets).persist()
-        try:
-            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets ints
-            if not touched:
-                return
-            state = self._state(spark)
-            old = state.read([f"bucket={b}" for b in touched])
-            parts = [new] if old is None else [new, old.select(*new.columns)]
-            # merged buckets are a new version, and the old one stays until a
-            # pointer names the new: a crash in between is repaired by the
-            # replay, as the merge is idempotent
-            state.replace(merge_partials(_union(parts)).hint("rebalance", "bucket"), self.buckets)
-        finally:
-            new.unpersist()
+        new = self._staged(state_partials(events, self.buckets))
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets ints
+        if not touched:
+            return
+        state = self._state(spark)
+        old = state.read([f"bucket={b}" for b in touched])
+        parts = [new] if old is None else [new, old.select(*new.columns)]
+        # merged buckets are a new version, and the old one stays until a
+        # pointer names the new: a crash in between is repaired by the
+        # replay, as the merge is idempotent
+        state.replace(merge_partials(_union(parts)).hint("rebalance", "bucket"), self.buckets)
 
     # ---------------------------------------------------------------- views of latest versions, last rows
 
@@ -264,15 +263,12 @@ class CdcJob:
         touched = self._touched(batch)
         if not touched:
             return
-        versions = sv.replaced(batch, current.read(touched), latest).persist()
-        try:
-            delta = sv.signed(versions)
-            for name, view in self.views.items():
-                if view.latest and view.table == table:
-                    self._write_batch_partition(view.partials(delta), self.path("partials", name), batch_id)
-            current.replace(versions.select("now.*").hint("rebalance", "bucket"), batch_id)
-        finally:
-            versions.unpersist()
+        versions = self._staged(sv.replaced(batch, current.read(touched), latest))
+        delta = sv.signed(versions)
+        for name, view in self.views.items():
+            if view.latest and view.table == table:
+                self._write_batch_partition(view.partials(delta), self.path("partials", name), batch_id)
+        current.replace(versions.select("now.*").hint("rebalance", "bucket"), batch_id)
 
     def _merge_last(self, spark: SparkSession, batch: DataFrame, name: str, last: sv.LastRows) -> None:
         batch = batch.filter(F.col(last.owner).isNotNull())
