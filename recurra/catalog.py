@@ -374,7 +374,7 @@ def _book(spark: SparkSession, sf: str):
     if key not in _BOOKS:
         book = BillingBook(spark, f"{checkpoint_root(spark)}/books/{uuid4().hex}", buckets=8)
         book.load("subscriptions", _current_subs(spark, sf, RETRY_AS_OF))
-        book.load("invoices", _current_invoices(spark, sf, RETRY_AS_OF))
+        book.load("invoices", billing.known_at(fx.invoices_stream(spark, sf), RETRY_AS_OF), order=serving.INVOICE_ORDER)
         book.load("merchants", fx.merchants(spark, sf))
         book.run(RETRY_AS_OF, fx.payment_attempts_stream(spark, sf), fx.plan_changes_stream(spark, sf))
         _BOOKS[key] = book

@@ -14,16 +14,19 @@ same change sets, and a rerun of a finished day changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recurra import schemas
 from recurra.operators import billing
+from recurra.operators.latest import latest_version
 from recurra.streaming.versioned import VersionedTable
 
 TABLES = ("subscriptions", "invoices", "merchants")
 BUCKETS = 64
+PARTS = 64          # into which the rows of a bucket are dealt by key
 
 
 def _day(as_of) -> int:
@@ -46,12 +49,25 @@ class BillingBook:
     def _bucketed(self, name: str, rows: DataFrame) -> DataFrame:
         return rows.withColumn("bucket", F.pmod(F.xxhash64(schemas.TABLES[name][1]), F.lit(self.buckets)).cast("int"))
 
-    def load(self, name: str, rows: DataFrame, mark: int = 0) -> None:
-        """Fill a table that has no version yet; one row per key."""
+    def _dealt(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows shuffled once, by bucket and part of the bucket: rows of a key meet, and a task writes few buckets."""
+        part = F.pmod(F.xxhash64(F.lit(PARTS), schemas.TABLES[name][1]), F.lit(PARTS)).cast("int")
+        return self._bucketed(name, rows).withColumn("part", part).repartition("bucket", "part")
+
+    def load(self, name: str, rows: DataFrame, mark: int = 0, order: Sequence[str] | None = None) -> None:
+        """Fill a table that has no version yet; one row per key.
+
+        With ``order``, ``rows`` are versions, and the last of each key is taken in the shuffle that fills the buckets.
+        """
         table, columns = self._table(name), [f.name for f in schemas.TABLES[name][0].fields]
         if table.pointer().seq >= 0:
             raise ValueError(f"{name} is filled already")
-        table.replace(self._bucketed(name, rows.select(*columns)).hint("rebalance", "bucket"), mark)
+        if order is None:
+            filled = self._bucketed(name, rows.select(*columns)).hint("rebalance", "bucket")
+        else:
+            versions = self._dealt(name, rows.select(*columns, *[c for c in order if c not in columns]))
+            filled = latest_version(versions, ["bucket", "part", schemas.TABLES[name][1]], order).select(*columns, "bucket")
+        table.replace(filled, mark)
 
     def table(self, name: str) -> DataFrame:
         rows, schema = self._table(name).read(), schemas.TABLES[name][0]
@@ -87,6 +103,13 @@ class BillingBook:
         new = self._bucketed(name, changes.select(*columns))
         touched = [r.bucket for r in new.select("bucket").distinct().collect()]      # at most ``buckets`` of them
         old = table.read([f"bucket={b}" for b in touched])
-        merged = new if old is None else old.select(*new.columns).join(new.select(key), key, "left_anti") \
-            .select(*new.columns).unionByName(new)
-        table.replace(merged.hint("rebalance", "bucket"), day)
+        if old is None:
+            table.replace(new.hint("rebalance", "bucket"), day)
+            return
+        # a row of the table stays where its key has no change; both meet in the one shuffle that also fills the buckets
+        rows = old.select(*columns).withColumn("changed", F.lit(False)) \
+            .unionByName(changes.select(*columns).withColumn("changed", F.lit(True)))
+        replaced = F.max("changed").over(Window.partitionBy("bucket", "part", key))
+        merged = self._dealt(name, rows).withColumn("replaced", replaced).filter(
+            F.col("changed") | ~F.col("replaced") | F.col(key).isNull())
+        table.replace(merged.select(*columns, "bucket"), day)
