@@ -46,7 +46,7 @@ LONGEST = 3
 LEAST = 10
 SHARE = 50
 BEST = 2000
-PARTS = 4              # one place in so many is a trigger
+PARTS = 8              # one place in so many is a trigger; a chunk repeats longest - 1 words, so short ones cost more words
 HELD = 100_000         # distinct chunks that a task holds before it writes them
 BREAKS = b".,;:!?\n\x0b\x0c\r"      # fixed by the definition of a piece
 BREAK = b"\n"          # stands for all of them
