@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+from recurra.sources.sinks import side_by_side
+
 TOPICS = 16             # files that a task writes side by side
 
 
@@ -36,10 +37,5 @@ def write_cdc_files(messages: DataFrame, path: str) -> None:
     A task keeps a file open for each topic, so that the traffic is not sorted
     by topic in executor memory; tasks with more topics than that still sort.
     """
-    spark = messages.sparkSession
-    keep = spark.conf.get(OPEN_FILES)
-    spark.conf.set(OPEN_FILES, str(TOPICS))
-    try:
+    with side_by_side(messages.sparkSession, TOPICS):
         messages.write.mode("append").partitionBy("topic").text(path)
-    finally:
-        spark.conf.set(OPEN_FILES, keep)

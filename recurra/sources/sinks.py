@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def side_by_side(spark: SparkSession, files: int) -> Iterator[None]:
+    """Tasks of a partitioned write keep up to so many files open, one for each partition value, and do
+    not sort their rows by it in executor memory; tasks that reach the number sort the rest."""
+    keep = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, keep)
+
 
 def append(df: DataFrame, path: str) -> None:
     """K4: append-only table (reconciliation log)."""

@@ -46,6 +46,7 @@ from recurra.operators.latest import latest_version
 from recurra.functions.calendar import month_start, not_after_day
 from recurra.plans import serving
 from recurra.session import checkpoint_root
+from recurra.sources.sinks import side_by_side
 from recurra.sources.staging import remove, staged
 from recurra.streaming import views as sv
 from recurra.streaming.versioned import VersionedTable
@@ -155,8 +156,9 @@ class CdcJob:
         return "/".join([self.out.rstrip("/"), *parts])
 
     def _write_batch_partition(self, df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        with side_by_side(df.sparkSession, 2):      # the rows are not sorted by their one batch_id
+            (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
