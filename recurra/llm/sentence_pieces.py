@@ -46,7 +46,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-REMEMBERED = 400_000       # cuts, or steps, a task remembers
+REMEMBERED = 130_000       # cuts, or steps, a worker process remembers, and as many older ones at most
 
 
 def _replacements(blob: bytes) -> dict[str, str]:
@@ -73,15 +73,19 @@ def _replacements(blob: bytes) -> dict[str, str]:
 
 
 class _Memo(dict):
-    """Remembers a function of one argument; starts again when full."""
+    """Remembers a function of one argument. When full its entries become the older ones, of which those used again stay."""
 
-    def __init__(self, function, most: int = REMEMBERED):
-        self.function, self.most = function, most
+    def __init__(self, function, most: int | None = None):
+        self.function, self.most, self.older = function, REMEMBERED if most is None else most, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.function(key)
+        self[key] = value
         return value
 
 
@@ -112,7 +116,7 @@ class Transducer:
 
     def _prepare(self) -> None:
         self.tree: dict = {}
-        for piece, i in self.id.items():
+        for piece, i in () if self.bpe else self.id.items():
             node = self.tree
             for c in piece:
                 node = node.setdefault(c, {})
@@ -171,8 +175,9 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fits(self, pair: tuple[str, str]) -> bool:
-        a, b = pair
+    def _fits(self, step: int | tuple[str, str]) -> bool:
+        """Whether one piece may follow another; both by their ids in one number, or by name where the first has no id."""
+        a, b = step if isinstance(step, tuple) else (self.names[step >> 32], self.names[step & 0xFFFFFFFF])
         return a + b not in self.id and self._merged(a + b) == [a, b]
 
     def shortest_path(self, text: str) -> list[str]:
@@ -187,13 +192,14 @@ class Transducer:
         leads nowhere is tried once.
         """
         n, pieces, step, most = len(text), self.id, self.step, self.longest
-        path, begins, dead, at, last = [], [], set(), 0, ""
+        path, begins, dead, at, last, last_id = [], [], set(), 0, "", None
         j = min(n, most)
         while at < n:
             while j > at:
                 piece = text[at:j]
-                if piece in pieces:
-                    if j not in dead and (not last or step[last, piece]):
+                i = pieces.get(piece)
+                if i is not None:
+                    if j not in dead and (not last or step[(last, piece) if last_id is None else last_id << 32 | i]):
                         break
                 elif j == at + 1 and j not in dead:     # byte fallback: no step but this one leads over the character
                     break
@@ -201,13 +207,14 @@ class Transducer:
             if j > at:
                 begins.append(at)
                 path.append(piece)
-                last, at = piece, j
+                last, last_id, at = piece, i, j
                 j = min(n, at + most)
             else:       # back to where this place was reached from, and on with the next shorter piece there
                 dead.add(at)
                 j, at = at - 1, begins.pop()
                 path.pop()
                 last = path[-1] if path else ""
+                last_id = pieces.get(last)
         return path
 
     def _cheapest_path(self, text: str) -> list[str]:
