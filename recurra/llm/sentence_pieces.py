@@ -46,6 +46,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+BEGINNING = 4              # characters of a piece by which the longest piece is looked up
 REMEMBERED = 130_000       # cuts, or steps, a worker process remembers, and as many older ones at most
 
 
@@ -73,15 +74,20 @@ def _replacements(blob: bytes) -> dict[str, str]:
 
 
 class _Memo(dict):
-    """Remembers a function of one argument. When full its entries become the older ones, of which those used again stay."""
+    """Remembers a function of one argument, but not for arguments longer than ``longest``.
 
-    def __init__(self, function, most: int | None = None):
-        self.function, self.most, self.older = function, REMEMBERED if most is None else most, {}
+    When full its entries become the older ones, of which those used again stay.
+    """
+
+    def __init__(self, function, most: int | None = None, longest: int | None = None):
+        self.function, self.most, self.longest, self.older = function, REMEMBERED if most is None else most, longest, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.function(key)
+            if self.longest and len(key) > self.longest:
+                return value
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
@@ -124,7 +130,10 @@ class Transducer:
         longer = [p for p in self.id if len(p) > 1]
         joined = {c for p in longer for c in p}
         self.inside = {p[i:i + 2] for p in longer for i in range(len(p) - 1)}      # neighbours within some piece
-        self.longest = max(map(len, self.id), default=1)
+        self.reach: dict[str, int] = {}      # the longest piece that begins with these characters, for pieces of so many and more
+        for p in sorted(longer, key=len):
+            if len(p) >= BEGINNING:
+                self.reach[p[:BEGINNING]] = len(p)
         m = re.escape(self.mark)
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and chr(c) != self.mark)
         if any(self.mark in p.lstrip(self.mark) for p in longer):
@@ -133,20 +142,21 @@ class Transducer:
             # marks that no piece holds after a letter end a word there, so that it is remembered without them
             ends = "".join(re.escape(p) for p in "!\"'(),-./:;?[]{}|" if not any(
                 x[0].isalpha() and x[1] == p for x in self.inside))
-            word = f"{m}*[^{m}{alone}{ends}]*[A-Za-z](?=[{ends}])|" if ends else ""
+            word = f"{m}*+[^{m}{alone}{ends}]++(?<=[A-Za-z])(?=[{ends}])|" if ends else ""
             self.cuts = re.compile(f"{f'[{alone}]|' if alone else ''}{word}{m}*[^{m}{alone}]+|{m}+")
         if self.rules:
             self.replace = re.compile("|".join(re.escape(k) for k in sorted(self.rules, key=lambda k: (-len(k), k))))
         self.step = _Memo(self._fits)
-        self.paths = _Memo(self._path_bytes)
+        self.paths = _Memo(self._path_bytes, longest=64)
         raw = [p.replace(self.mark, " ").encode() for p in self.names]
         for i, t in enumerate(self.types):
             raw[i] = (bytes([int(self.names[i][3:5], 16)]) if t == BYTE else b"" if t == CONTROL
                       else " ⁇ ".encode() if t == UNKNOWN else raw[i])
-        self.raw = raw
+        self.raw, self.raw_array = raw, pa.array(raw, pa.large_binary())
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("step", "paths", "cuts", "replace", "tree", "raw", "inside")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("step", "paths", "cuts", "replace", "tree", "raw", "raw_array", "inside",
+                                                              "reach")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -177,7 +187,7 @@ class Transducer:
 
     def _fits(self, step: int | tuple[str, str]) -> bool:
         """Whether one piece may follow another; both by their ids in one number, or by name where the first has no id."""
-        a, b = step if isinstance(step, tuple) else (self.names[step >> 32], self.names[step & 0xFFFFFFFF])
+        a, b = step if isinstance(step, tuple) else map(self.names.__getitem__, divmod(step, len(self.names)))
         return a + b not in self.id and self._merged(a + b) == [a, b]
 
     def shortest_path(self, text: str) -> list[str]:
@@ -191,15 +201,15 @@ class Transducer:
         shortest. Every beginning of a text has one free path, so a place that
         leads nowhere is tried once.
         """
-        n, pieces, step, most = len(text), self.id, self.step, self.longest
+        n, pieces, step, reach, size = len(text), self.id, self.step, self.reach, len(self.names)
         path, begins, dead, at, last, last_id = [], [], set(), 0, "", None
-        j = min(n, most)
+        j = min(n, reach.get(text[:BEGINNING], BEGINNING - 1))
         while at < n:
             while j > at:
                 piece = text[at:j]
                 i = pieces.get(piece)
                 if i is not None:
-                    if j not in dead and (not last or step[(last, piece) if last_id is None else last_id << 32 | i]):
+                    if j not in dead and (not last or step[(last, piece) if last_id is None else last_id * size + i]):
                         break
                 elif j == at + 1 and j not in dead:     # byte fallback: no step but this one leads over the character
                     break
@@ -208,7 +218,7 @@ class Transducer:
                 begins.append(at)
                 path.append(piece)
                 last, last_id, at = piece, i, j
-                j = min(n, at + most)
+                j = min(n, at + reach.get(text[at:at + BEGINNING], BEGINNING - 1))
             else:       # back to where this place was reached from, and on with the next shorter piece there
                 dead.add(at)
                 j, at = at - 1, begins.pop()
@@ -254,11 +264,10 @@ class Transducer:
         for p in self.shortest_path(text):
             i = self.id.get(p)
             out += [i] if i is not None else [self.bytes[b] for b in p.encode()] if self.bytes else [self.unknown]
-        return np.array(out, "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
 
     def _joined(self, cuts: list[str]) -> bytes:
-        paths = self.paths
-        return b"".join([paths[c] if len(c) <= 64 else self._path_bytes(c) for c in cuts])
+        return b"".join(map(self.paths.__getitem__, cuts))
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self._joined(self.cuts.findall(self.normalise(text))), "<i4")
@@ -267,6 +276,27 @@ class Transducer:
         text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
+    def round_trips(self, texts: list[str | None], ids: np.ndarray, n: np.ndarray) -> list[bool | None]:
+        """Whether decoding gives each text back; ``ids`` are the pieces of all texts, ``n`` how many each has.
+
+        The bytes of all pieces are laid side by side at once, and compared as bytes: other bytes are
+        another text, unless a replacement for bad ones may stand in it.
+        """
+        laid = self.raw_array.take(pa.array(ids, pa.int32()))
+        at = np.append(0, np.cumsum(n))
+        held = np.frombuffer(laid.buffers()[1], np.int64)[at].tolist() if len(ids) else [0] * len(at)
+        data = laid.buffers()[2].to_pybytes() if len(ids) else b""
+        out: list[bool | None] = []
+        for i, t in enumerate(texts):
+            if t is None:
+                out.append(None)
+                continue
+            a, b = held[i], held[i + 1]
+            if self.prefix and a < b and data[a] == 32:
+                a += 1
+            out.append(data[a:b] == t.encode() or ("\ufffd" in t and self.decode(ids[at[i]:at[i + 1]].tolist()) == t))
+        return out
+
 
 def load(path: str = MODEL) -> Transducer:
     with open(path, "rb") as f:
@@ -287,11 +317,11 @@ def encode_documents(docs: DataFrame, model: Transducer, text: str = "text", kee
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                ids = [None if t is None else coder.encode(t) for t in part.column(len(keep)).to_pylist()]
-                same = [None if t is None else coder.decode(x.tolist()) == t
-                        for t, x in zip(part.column(len(keep)).to_pylist(), ids)]
+                texts = part.column(len(keep)).to_pylist()
+                ids = [None if t is None else coder.encode(t) for t in texts]
                 n = np.array([0 if x is None else len(x) for x in ids], np.int64)
                 flat = np.concatenate([np.zeros(0, "<i4"), *[x for x in ids if x is not None]])
+                same = coder.round_trips(texts, flat, n)
                 offsets = pa.array(np.append(0, np.cumsum(n)).astype(np.int32),
                                    mask=np.append([x is None for x in ids], False).astype(bool))
                 yield pa.RecordBatch.from_arrays(
