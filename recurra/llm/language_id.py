@@ -109,7 +109,8 @@ def text_evidence(text: Column, model: np.ndarray) -> Column:
                 n += len(h)
             out.append(np.append(total / max(1, n), n))
         return pd.Series(out)
-    return evidence(text)
+    # else a filter on the evidence would be pushed below its projection, and work it out again in a second worker
+    return evidence.asNondeterministic()(text)
 
 
 class Fusion:

@@ -63,7 +63,8 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series([_fingerprint(t, shingle) for t in texts], dtype="int64")
-    return simhash(text.cast("binary"))
+    # else a filter on it, such as a join's, would be pushed below its projection, and work it out again in a second worker
+    return simhash.asNondeterministic()(text.cast("binary"))
 
 
 def _bits(fps: np.ndarray, positions: list[int]) -> np.ndarray:
