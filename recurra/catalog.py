@@ -424,7 +424,8 @@ def _streamed(spark: SparkSession, sf: str):
     if key not in _STREAM_RUNS:
         run = uuid4().hex
         root = f"{checkpoint_root(spark)}/streamed/{run}"
-        write_cdc_files(fx.cdc_messages(spark, sf), root + "/source")
+        for table in fx.WIRE_FORMAT:        # topic by topic, so that only the shuffle of one is on disk
+            write_cdc_files(fx.cdc_messages(spark, sf, (table,)), root + "/source")
         job = CdcJob(root + "/out", buckets=16)
         q = job.start(read_cdc_files(spark, root + "/source"), checkpoint=root + "/checkpoint",
                       trigger={"availableNow": True}, name=f"cdc_{run}")

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.sources.sinks import side_by_side
+from recurra.sources.sinks import shuffles_removed, side_by_side
 
 TOPICS = 16             # files that a task writes side by side
+MESSAGES = 1_000_000    # of a file at most: a compressed file is read by one task
 
 
 def read_cdc_files(spark: SparkSession, path: str, stream: bool = True,
@@ -36,6 +37,9 @@ def write_cdc_files(messages: DataFrame, path: str) -> None:
 
     A task keeps a file open for each topic, so that the traffic is not sorted
     by topic in executor memory; tasks with more topics than that still sort.
+    The text is compressed, as it is by far the largest thing that a run has on disk.
     """
-    with side_by_side(messages.sparkSession, TOPICS):
-        messages.write.mode("append").partitionBy("topic").text(path)
+    spark = messages.sparkSession
+    with side_by_side(spark, TOPICS), shuffles_removed(spark):
+        (messages.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", MESSAGES)
+         .partitionBy("topic").text(path))

@@ -8,18 +8,37 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+PACKED = "zstd"         # of the Parquet files that a job keeps or stages
+
+
+@contextmanager
+def _conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    keep = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if keep is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, keep)
 
 
 @contextmanager
 def side_by_side(spark: SparkSession, files: int) -> Iterator[None]:
     """Tasks of a partitioned write keep up to so many files open, one for each partition value, and do
     not sort their rows by it in executor memory; tasks that reach the number sort the rest."""
-    keep = spark.conf.get(OPEN_FILES)
-    spark.conf.set(OPEN_FILES, str(files))
-    try:
+    with _conf(spark, OPEN_FILES, str(files)):
+        yield
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a write are removed when it ends; else they stay on the executors' disks until
+    the driver happens to collect its garbage. Only for writes: a DataFrame collected again would shuffle again."""
+    with _conf(spark, CLEANUP, "true"):
         yield
-    finally:
-        spark.conf.set(OPEN_FILES, keep)
 
 
 def append(df: DataFrame, path: str) -> None:

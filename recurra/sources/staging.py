@@ -9,6 +9,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.sources.sinks import PACKED, shuffles_removed
+
 
 def _folder(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -18,7 +20,8 @@ def _folder(spark: SparkSession, path: str):
 def staged(df: DataFrame, folder: str) -> DataFrame:
     """``df`` written to a new folder below ``folder`` and read back; that one goes with the application at the latest."""
     spark, path = df.sparkSession, f"{folder.rstrip('/')}/{uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", PACKED).parquet(path)
     fs, where = _folder(spark, path)
     fs.deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)

@@ -46,7 +46,7 @@ from recurra.operators.latest import latest_version
 from recurra.functions.calendar import month_start, not_after_day
 from recurra.plans import serving
 from recurra.session import checkpoint_root
-from recurra.sources.sinks import side_by_side
+from recurra.sources.sinks import PACKED, shuffles_removed, side_by_side
 from recurra.sources.staging import remove, staged
 from recurra.streaming import views as sv
 from recurra.streaming.versioned import VersionedTable
@@ -156,8 +156,9 @@ class CdcJob:
         return "/".join([self.out.rstrip("/"), *parts])
 
     def _write_batch_partition(self, df: DataFrame, path: str, batch_id: int) -> None:
-        with side_by_side(df.sparkSession, 2):      # the rows are not sorted by their one batch_id
-            (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+        spark = df.sparkSession
+        with side_by_side(spark, 2), shuffles_removed(spark):       # the rows are not sorted by their one batch_id
+            (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("compression", PACKED)
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -169,11 +170,14 @@ class CdcJob:
         remove(spark, self.path("staging"))              # left by a crash
         try:
             envelope = cdc.parse_envelope(batch)
-            routed = cdc.route(envelope, self._staged(cdc.judge(envelope)))      # each message is parsed once
+            routed = cdc.route(envelope, self._staged(cdc.judge(envelope), "judged"))    # each message is parsed once
+            events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
+            state = self._staged(state_partials(events, self.buckets), "state")
             for name, rows in routed.logs.items():
                 self._write_batch_partition(rows, self.path("logs", name), batch_id)
             self._write_batch_partition(routed.dead_letter, self.path("dead_letter"), batch_id)
             self._write_batch_partition(routed.deletes, self.path("deletes"), batch_id)
+            self._unstaged(spark, "judged")                  # before the merges, which shuffle
             # the rows just written: their plan is a scan, not the whole decoding
             wanted = {v.table for v in (*self.views.values(), *self.last.values())}
             written = {t: self._written(spark, t, batch_id) for t in wanted}
@@ -184,14 +188,17 @@ class CdcJob:
                 self._follow(spark, written[table], table, latest, batch_id)
             for name, last in self.last.items():
                 self._merge_last(spark, written[last.table], name, last)
-            events = st.state_events(*[routed.state[t] for t in cdc.STATE_TABLES])
-            self._merge_state(spark, events)
+            self._merge_partials(spark, state)
         finally:
             remove(spark, self.path("staging"))
 
-    def _staged(self, df: DataFrame) -> DataFrame:
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
         """A table that a batch reads more than once, in files: executors hold none of it, however long the batch."""
-        return staged(df, self.path("staging"))
+        return staged(df, self.path("staging", name))
+
+    def _unstaged(self, spark: SparkSession, name: str) -> None:
+        """Remove a staged table that nothing reads any more."""
+        remove(spark, self.path("staging", name))
 
     def _written(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         """The log rows of a batch, as written; none where it has no folder."""
@@ -230,7 +237,9 @@ class CdcJob:
         return VersionedTable(spark, self.path("compacted", table), self.path("pointers", table), "mois")
 
     def _merge_state(self, spark: SparkSession, events: DataFrame) -> None:
-        new = self._staged(state_partials(events, self.buckets))
+        self._merge_partials(spark, self._staged(state_partials(events, self.buckets), "state"))
+
+    def _merge_partials(self, spark: SparkSession, new: DataFrame) -> None:
         touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets ints
         if not touched:
             return
@@ -265,12 +274,13 @@ class CdcJob:
         touched = self._touched(batch)
         if not touched:
             return
-        versions = self._staged(sv.replaced(batch, current.read(touched), latest))
+        versions = self._staged(sv.replaced(batch, current.read(touched), latest), "versions")
         delta = sv.signed(versions)
         for name, view in self.views.items():
             if view.latest and view.table == table:
                 self._write_batch_partition(view.partials(delta), self.path("partials", name), batch_id)
         current.replace(versions.select("now.*").hint("rebalance", "bucket"), batch_id)
+        self._unstaged(spark, "versions")
 
     def _merge_last(self, spark: SparkSession, batch: DataFrame, name: str, last: sv.LastRows) -> None:
         batch = batch.filter(F.col(last.owner).isNotNull())

@@ -19,6 +19,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.sources.sinks import PACKED, shuffles_removed
 
 ENDED = "_ENDED"
 
@@ -89,7 +90,8 @@ class VersionedTable:
     def replace(self, rows: DataFrame, mark: int | None = None) -> None:
         """Replace the partitions that ``rows`` has rows in; the others stay."""
         old, version = self.pointer(), f"v{uuid4().hex}"
-        rows.write.partitionBy(self.column).parquet(f"{self.data}/version={version}")
+        with shuffles_removed(rows.sparkSession):
+            rows.write.option("compression", PACKED).partitionBy(self.column).parquet(f"{self.data}/version={version}")
         made = self._names(f"{self.data}/version={version}", f"{self.column}=")
         new = Pointer(old.seq + 1, {**old.versions, **dict.fromkeys(made, version)}, mark)
         self._publish(new)
