@@ -53,6 +53,7 @@ from recurra.streaming.versioned import VersionedTable
 
 STATE_BUCKETS = 64
 SPAN = 1000             # batches that a partition of a compacted side log holds
+MERGE_ROWS = 2_000_000  # of a batch that are merged into the last rows at once, more only in a single bucket
 UNTIMED = "__HIVE_DEFAULT_PARTITION__"
 LAST_INVOICES = sv.LastRows("invoices_stream", "merchant_id", "invoice_id", "date_emission", serving.INVOICE_ORDER, 12)
 
@@ -283,14 +284,16 @@ class CdcJob:
         self._unstaged(spark, "versions")
 
     def _merge_last(self, spark: SparkSession, batch: DataFrame, name: str, last: sv.LastRows) -> None:
-        batch = batch.filter(F.col(last.owner).isNotNull())
-        touched = self._touched(batch.select(self._bucket(last.owner).alias("bucket")))
-        if not touched:
-            return
+        """Merge a batch into the last rows, some buckets after the other: the merge shuffles whole rows more than
+        once, so that a large batch would have its size on disk as often. A replay after a crash merges all again."""
+        batch, bucket = batch.filter(F.col(last.owner).isNotNull()), self._bucket(last.owner)
+        sizes = batch.groupBy(bucket.alias("bucket")).count().collect()     # <= buckets pairs
         stored = self._bucketed(spark, "last", name)
-        old = stored.read(touched)
-        parts = [batch] if old is None else [batch, old.select(*batch.columns)]
-        stored.replace(last.merge(parts).withColumn("bucket", self._bucket(last.owner)).hint("rebalance", "bucket"))
+        for some in _in_slices({r["bucket"]: r["count"] for r in sizes}, MERGE_ROWS):
+            rows = batch if len(some) == len(sizes) else batch.filter(bucket.isin(some))
+            old = stored.read([f"bucket={b}" for b in some])
+            parts = [rows] if old is None else [rows, old.select(*batch.columns)]
+            stored.replace(last.merge(parts).withColumn("bucket", bucket).hint("rebalance", "bucket"))
 
     def start(self, source: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
               name: str = "cdc_job") -> StreamingQuery:
@@ -481,6 +484,17 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _in_slices(sizes: dict[int, int], most: int) -> list[list[int]]:
+    """Buckets by their rows, in slices of at most so many rows; a larger bucket is a slice of its own."""
+    out, held = [], 0
+    for b, n in sorted(sizes.items()):
+        if not out or held + n > most:
+            out, held = [*out, []], 0
+        out[-1].append(b)
+        held += n
+    return out
+
+
 def _log_time(table: str) -> str:
     return "created_at" if table == "payment_attempts_stream" else "updated_at"
 
